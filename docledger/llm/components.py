@@ -1,0 +1,34 @@
+"""Connected components by contraction: each node points to its smallest neighbour, edges move to the
+nodes pointed to, and so on until none is left; then the chain of pointers is followed.
+
+Every round is joins and combined minima over written tables; no component is gathered anywhere.
+Null ends and loops are ignored; repeated edges count once; no edges: an empty result.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from docledger.llm.shared import written
+
+
+def _undirected(edges: DataFrame) -> DataFrame:
+    return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node, root (the smallest node of its component) for every node of the edges (a, b)."""
+    edges = written(_undirected(edges.where("a is not null and b is not null")), "edges")
+    levels: list[DataFrame] = []
+    while not levels or not edges.isEmpty():
+        both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        parents = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("parent")), "parents")
+        levels.append(parents)
+        left, right = (parents.select(F.col("node").alias(x), F.col("parent").alias(f"p{x}")) for x in "ab")
+        edges = written(_undirected(edges.join(left, "a").join(right, "b").select(F.col("pa").alias("a"), F.col("pb").alias("b"))), "edges")
+    out = levels[0]
+    for level in levels[1:]:
+        up = level.select(F.col("node").alias("parent"), F.col("parent").alias("up"))
+        out = out.join(up, "parent", "left").select("node", F.coalesce("up", "parent").alias("parent"))
+    return out.select("node", F.col("parent").alias("root"))
