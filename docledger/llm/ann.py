@@ -117,7 +117,7 @@ def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
     return rows.where(F.size("v") == (sizes.n if sizes else 0))
 
 
-def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", every=50, k=5, sample=32_768, rows_per_list=64, max_lists=4096, replicas=4, replica_ratio=1.25, prune=1.7, probes=96, list_rows=4096) -> DataFrame:
+def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", every=50, k=5, sample=32_768, rows_per_list=64, max_lists=4096, replicas=4, replica_ratio=1.25, prune=1.9, probes=144, list_rows=4096) -> DataFrame:
     """query_id, rank, id, score: the k nearest found of each row whose id is divisible by `every`."""
     spark = vectors.sparkSession
     rows = valid_vectors(vectors, id_col, vector_col)

@@ -124,8 +124,9 @@ with d as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, '')
 s as (select source, cast(sum(size) as bigint) as source_size, [{', '.join(map(str, weights))}][1 + (row_number() over (order by source nulls last) - 1) % {len(weights)}] as w from d group by source),
 c as (select *, {cap}.0 * source_size / w as top, sum(source_size) over () as total from s),
 o as (select *, coalesce(sum({cap}.0 * source_size) over (order by top, source rows between unbounded preceding and 1 preceding), 0) as held,
-        sum(w) over (order by top, source rows between current row and unbounded following) as free from c),
-l as (select min((total - held) / free) as level from o where (total - held) / free <= top),
+        sum(w) over (order by top, source rows between current row and unbounded following) as free,
+        row_number() over (order by top, source) as place from c),
+l as (select coalesce(arg_min((total - held) / free, place), 1e300) as level from o where (total - held) / free <= top),
 t as (select source, source_size, least(w * (select level from l), {cap}.0 * source_size) as target from s),
 x as (select source, source_size, target, case when source_size > 0 then least(target / source_size, {cap}.0) else 0 end as rate from t),
 j as (select d.doc_id, d.size, x.* from d join x on d.source is not distinct from x.source),
