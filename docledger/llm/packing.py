@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import bisect
 import math
+import os
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,26 +31,67 @@ _loaded: dict = {}
 class _Ids(dict):
     """A run of non-space characters -> its ids as little-endian 32-bit numbers, remembered up to a bound.
 
-    The tokenizer drops white space and merges within runs only, so a text's ids are its runs' ids in turn.
+    The tokenizer drops white space, lower-cases, and merges within runs of letters, so a text's ids are its
+    runs' ids in turn, in either case, and a final comma or stop behind a Latin letter stands for itself.
+    New runs of letters are encoded many at a time and parted behind the ids that end a word.
     """
 
-    def __init__(self, tokenizer, bound: int = 400_000):
+    def __init__(self, tokenizer, bound: int = 350_000):
         super().__init__()
-        self.tokenizer, self.bound = tokenizer, bound
+        self.tokenizer, self.bound, self.old = tokenizer, bound, {}
+        vocabulary = tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def runs(self, text: bytes) -> list[bytes]:
+        return (text if b"<|" in text else text.lower()).split()  # special tokens heed the case
 
     def learn(self, runs: set[bytes]) -> None:
-        new = [r for r in runs if r not in self]
-        if len(self) + len(new) > self.bound:
+        if len(self) + len(runs) > self.bound:
+            self.old = dict(self)
             self.clear()
-            new = list(runs)
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            for run, e in zip(part, self.tokenizer.encode_batch_fast([r.decode("utf-8", "replace") for r in part], add_special_tokens=False)):
-                self[run] = b"".join([i.to_bytes(4, "little") for i in e.ids])
+        new, closed = set(), []
+        for run in runs:
+            if run in self:
+                continue
+            if run in self.old:
+                self[run] = self.old[run]
+            elif run[-1:] in (b",", b".") and run[-2:-1].isalpha():
+                closed.append(run)
+                new.add(run[:-1])
+                new.add(run[-1:])
+            else:
+                new.add(run)
+        self._encode([r for r in new if r not in self])
+        for run in closed:
+            self[run] = self[run[:-1]] + self[run[-1:]]
+
+    def _encode(self, new: list[bytes]) -> None:
+        texts = [r.decode("utf-8", "replace") for r in new]
+        # NFC may join letters only within a run, so runs of letters may share one call.
+        words = [i for i, t in enumerate(texts) if t.isalpha()]
+        for start in range(0, len(words), 2000):
+            part = words[start : start + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(texts[i] for i in part)], add_special_tokens=False)[0].ids, "<u4")
+            cut = np.flatnonzero(self.ends[ids]) + 1
+            if len(cut) != len(part):  # a letter of no letter class in the tokenizer's tables: one by one
+                self._each([new[i] for i in part], [texts[i] for i in part])
+                continue
+            blob, begin = ids.tobytes(), 0
+            for i, end in zip(part, (cut * 4).tolist()):
+                self[new[i]] = blob[begin:end]
+                begin = end
+        others = [i for i, t in enumerate(texts) if not t.isalpha()]
+        self._each([new[i] for i in others], [texts[i] for i in others])
+
+    def _each(self, runs: list[bytes], texts: list[str]) -> None:
+        for run, e in zip(runs, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            self[run] = np.array(e.ids, "<u4").tobytes()
 
 
 def _ids(path: str) -> _Ids:
     if path not in _loaded:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         _loaded[path] = _Ids(Tokenizer.from_file(path))
@@ -69,7 +112,7 @@ def tokenized(documents: DataFrame, tokenizer: str, length: int, id_col="doc_id"
         for b in batches:
             for at in range(0, b.num_rows, 200):
                 keys, texts = (b.column(i).slice(at, 200).to_pylist() for i in (0, 1))
-                runs = [t.split() for t in texts]
+                runs = [ids.runs(t) for t in texts]
                 ids.learn(set().union(*runs))
                 rows: list[tuple] = []
                 for key, words in zip(keys, runs):
