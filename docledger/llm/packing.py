@@ -28,17 +28,21 @@ from docledger.llm.shared import text_bytes, written
 _loaded: dict = {}
 
 
-class _Ids(dict):
+class _Ids:
     """A run of non-space characters -> its ids as little-endian 32-bit numbers, remembered up to a bound.
 
     The tokenizer drops white space, lower-cases, and merges within runs of letters, so a text's ids are its
-    runs' ids in turn, in either case, and a final comma or stop behind a Latin letter stands for itself.
+    runs' ids in turn, in either case, and punctuation behind a Latin letter stands for itself.
     New runs of letters are encoded many at a time and parted behind the ids that end a word.
     """
 
+    #: ASCII characters that are no letter, digit, space, apostrophe or part of a special token.
+    TAIL = b"!\"#$%&()*+,-./:;=?@[]^_`{}~"
+
     def __init__(self, tokenizer, bound: int = 350_000):
-        super().__init__()
-        self.tokenizer, self.bound, self.old = tokenizer, bound, {}
+        self.tokenizer, self.bound = tokenizer, bound
+        self.now: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         vocabulary = tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -46,25 +50,32 @@ class _Ids(dict):
     def runs(self, text: bytes) -> list[bytes]:
         return (text if b"<|" in text else text.lower()).split()  # special tokens heed the case
 
-    def learn(self, runs: set[bytes]) -> None:
-        if len(self) + len(runs) > self.bound:
-            self.old = dict(self)
-            self.clear()
+    def of(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text."""
+        runs = [self.runs(t) for t in texts]
+        self._learn(set().union(*runs))
+        get = self.now.__getitem__
+        return [b"".join(map(get, r)) for r in runs]
+
+    def _learn(self, runs: set[bytes]) -> None:
+        now, old = self.now, self.old
+        if len(now) + len(runs) > self.bound:
+            self.now, self.old = now, old = {}, now
         new, closed = set(), []
-        for run in runs:
-            if run in self:
+        for run in runs.difference(now):
+            if run in old:
+                now[run] = old[run]
                 continue
-            if run in self.old:
-                self[run] = self.old[run]
-            elif run[-1:] in (b",", b".") and run[-2:-1].isalpha():
-                closed.append(run)
-                new.add(run[:-1])
-                new.add(run[-1:])
+            core = run.rstrip(self.TAIL)
+            if len(core) < len(run) and core[-1:].isalpha():
+                closed.append((run, core, run[len(core) :]))
+                new.add(core)
+                new.add(closed[-1][2])
             else:
                 new.add(run)
-        self._encode([r for r in new if r not in self])
-        for run in closed:
-            self[run] = self[run[:-1]] + self[run[-1:]]
+        self._encode([r for r in new if r not in now])
+        for run, core, tail in closed:
+            now[run] = now[core] + now[tail]
 
     def _encode(self, new: list[bytes]) -> None:
         texts = [r.decode("utf-8", "replace") for r in new]
@@ -72,21 +83,21 @@ class _Ids(dict):
         words = [i for i, t in enumerate(texts) if t.isalpha()]
         for start in range(0, len(words), 2000):
             part = words[start : start + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(texts[i] for i in part)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in part])], add_special_tokens=False)[0].ids, "<u4")
             cut = np.flatnonzero(self.ends[ids]) + 1
             if len(cut) != len(part):  # a letter of no letter class in the tokenizer's tables: one by one
                 self._each([new[i] for i in part], [texts[i] for i in part])
                 continue
             blob, begin = ids.tobytes(), 0
             for i, end in zip(part, (cut * 4).tolist()):
-                self[new[i]] = blob[begin:end]
+                self.now[new[i]] = blob[begin:end]
                 begin = end
         others = [i for i, t in enumerate(texts) if not t.isalpha()]
         self._each([new[i] for i in others], [texts[i] for i in others])
 
     def _each(self, runs: list[bytes], texts: list[str]) -> None:
         for run, e in zip(runs, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            self[run] = np.array(e.ids, "<u4").tobytes()
+            self.now[run] = np.array(e.ids, "<u4").tobytes()
 
 
 def _ids(path: str) -> _Ids:
@@ -110,13 +121,11 @@ def tokenized(documents: DataFrame, tokenizer: str, length: int, id_col="doc_id"
     def cut(batches):
         ids, salt = _ids(tokenizer), 0
         for b in batches:
-            for at in range(0, b.num_rows, 200):
-                keys, texts = (b.column(i).slice(at, 200).to_pylist() for i in (0, 1))
-                runs = [ids.runs(t) for t in texts]
-                ids.learn(set().union(*runs))
+            for at in range(0, b.num_rows, 1000):
+                keys, texts = (b.column(i).slice(at, 1000).to_pylist() for i in (0, 1))
                 rows: list[tuple] = []
-                for key, words in zip(keys, runs):
-                    blob = b"".join([ids[w] for w in words]) + b"\0\0\0\0"
+                for key, blob in zip(keys, ids.of(texts)):
+                    blob += b"\0\0\0\0"
                     for piece, start in enumerate(range(0, len(blob), 4 * length)):
                         part = blob[start : start + 4 * length]
                         salt += 1
