@@ -181,7 +181,8 @@ def jaccard_classes(documents: DataFrame, id_col="doc_id", text_col="text", n=5,
     blocks = groups.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     side = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("rep"), F.col("blocks"))).otherwise(0).cast("int")
     placed = written(reps.select("rep", "key", "copies").join(groups, "rep").join(blocks, "cluster").withColumn("side", side), "placed")
-    texts = documents.select(F.col(id_col).alias("rep"), text_bytes(text_col).alias("text")).join(placed, "rep")
+    # Always a shuffle of both sides: the tied texts grow with the corpus, so they are never broadcast.
+    texts = documents.select(F.col(id_col).alias("rep"), text_bytes(text_col).alias("text")).join(placed.hint("merge"), "rep")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     texts = texts.select("*", other.alias("other")).withColumns({"a": F.least("side", "other"), "b": F.greatest("side", "other")})
     tasks = max(1, math.ceil(placed.count() * 4096 / task_chars))
