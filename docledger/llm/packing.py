@@ -20,10 +20,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docledger.llm.shared import text_bytes, written
+from docledger.llm.shared import written
 
 _loaded: dict = {}
 
@@ -39,7 +40,7 @@ class _Ids:
     #: ASCII characters that are no letter, digit, space, apostrophe or part of a special token.
     TAIL = b"!\"#$%&()*+,-./:;=?@[]^_`{}~"
 
-    def __init__(self, tokenizer, bound: int = 350_000):
+    def __init__(self, tokenizer, bound: int = 450_000):
         self.tokenizer, self.bound = tokenizer, bound
         self.now: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -47,20 +48,30 @@ class _Ids:
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def runs(self, text: bytes) -> list[bytes]:
-        return (text if b"<|" in text else text.lower()).split()  # special tokens heed the case
-
-    def of(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text."""
-        runs = [self.runs(t) for t in texts]
-        self._learn(set().union(*runs))
+    def of(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text: runs are split and told apart by Arrow, and their ids laid out by NumPy."""
+        plain = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))  # special tokens heed the case
+        lists = pc.ascii_split_whitespace(plain)
+        coded = lists.flatten().dictionary_encode()
+        runs = coded.dictionary.cast(pa.binary()).to_pylist()
+        self._learn(set(runs))
         get = self.now.__getitem__
-        return [b"".join(map(get, r)) for r in runs]
+        known = [get(r) for r in runs]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        ids = np.frombuffer(b"".join(known), "<u4")
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        n = sizes[which]
+        ends = np.cumsum(n)
+        begins = (np.cumsum(sizes) - sizes)[which]
+        line = ids[np.repeat(begins - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        at = np.r_[0, ends][lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        return [line[i:j].tobytes() for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
 
     def _learn(self, runs: set[bytes]) -> None:
         now, old = self.now, self.old
         if len(now) + len(runs) > self.bound:
             self.now, self.old = now, old = {}, now
+        now[b""] = b""  # what Arrow makes of white space at an end
         new, closed = set(), []
         for run in runs.difference(now):
             if run in old:
@@ -122,9 +133,8 @@ def tokenized(documents: DataFrame, tokenizer: str, length: int, id_col="doc_id"
         ids, salt = _ids(tokenizer), 0
         for b in batches:
             for at in range(0, b.num_rows, 1000):
-                keys, texts = (b.column(i).slice(at, 1000).to_pylist() for i in (0, 1))
                 rows: list[tuple] = []
-                for key, blob in zip(keys, ids.of(texts)):
+                for key, blob in zip(b.column(0).slice(at, 1000).to_pylist(), ids.of(b.column(1).slice(at, 1000))):
                     blob += b"\0\0\0\0"
                     for piece, start in enumerate(range(0, len(blob), 4 * length)):
                         part = blob[start : start + 4 * length]
@@ -134,7 +144,7 @@ def tokenized(documents: DataFrame, tokenizer: str, length: int, id_col="doc_id"
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(len(names))], names)
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, salt long" + ", ids binary" * with_ids
-    return documents.select(F.col(id_col), text_bytes(text_col)).mapInArrow(cut, schema)
+    return documents.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).mapInArrow(cut, schema)
 
 
 class Bins:
