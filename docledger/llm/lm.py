@@ -9,7 +9,7 @@ one class for all others sum to 1 in every state; the empty state is (c(w) + 1)
 
 Scale: the automaton is never gathered in one place.  Texts are dealt into bundles of about
 `bundle_chars` bytes; each bundle counts its own n-grams and deals the packed counts by n-gram; the
-total of each n-gram goes back to the bundles that hold it, where it differs from their own count; a
+rest of each n-gram's total goes back to the bundles that hold it, in the order they sent it; a
 bundle then builds the part of the automaton that its texts can reach and runs it over them.  A frequent
 n-gram is one entry a bundle, so no key is hot; nothing is broadcast but two numbers (N and V).
 
@@ -21,6 +21,7 @@ Null ids: fold of the empty text.  Empty tables: an empty result.  N-grams are k
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ from docledger.llm.shared import WordHashes, by_target, fold_of, mixed, text_byt
 #: Not the hash of any word, as words hold no white space.
 END = np.uint64(0x5DEECE66D1234567)
 _COUNTS = "target int, bundle int, keys binary, counts binary"
+_MORE = "target int, bundle int, more binary"
 _SCORES = "doc_id {id}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -60,34 +62,61 @@ def _flat(texts: list[bytes], hashes: WordHashes, order: int) -> tuple[list[np.n
     return [np.concatenate([e[m] for e in each]) if each else np.zeros(0, np.uint64) for m in range(order)], np.array([len(e[0]) for e in each], np.int64)
 
 
-def _own_counts(flat: list[np.ndarray], train: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Distinct keys of each order with their training counts in this bundle (0: held-out texts only)."""
+def _own_counts(flat: list[np.ndarray], train: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each order: distinct keys, their training counts in this bundle (0: held-out texts only), and
+    which key each position has (-1: none)."""
     out = []
     for m, keys in enumerate(flat):
         there = keys != 0 if m else np.ones(len(keys), bool)
-        distinct, at = np.unique(keys[there], return_inverse=True)
-        out.append((distinct, np.bincount(at, weights=train[there], minlength=len(distinct)).astype(np.int64)))
+        coded = pa.array(keys[there]).dictionary_encode()
+        distinct, at = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        which = np.full(len(keys), -1, np.int64)
+        which[there] = at
+        out.append((distinct, np.bincount(at, weights=train[there], minlength=len(distinct)).astype(np.int64), which))
     return out
 
 
+def _dealt(own: list[tuple], targets: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
+    """Keys and counts of all orders in one key space, and for each target the positions of its keys in order.
+
+    Unigrams are made even, longer n-grams are odd.  The order is the keys' own, whatever the texts' order
+    was, so the totals that come back need no keys.
+    """
+    keys = np.concatenate([own[0][0] << np.uint64(1), *[o[0] for o in own[1:]]])
+    order = np.argsort(keys)
+    return keys, np.concatenate([o[1] for o in own]), [(t, order[at]) for t, at in by_target(mixed(keys[order], keys[order]), targets)]
+
+
+def _squeezed(x: np.ndarray) -> bytes:
+    """Numbers as planes of bytes, high to low, which leaves long runs of zeros to the compressor."""
+    return zlib.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes(), 1)
+
+
+def _expanded(b: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(b), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def _corpus_size(texts: DataFrame, targets: int) -> tuple[int, int]:
     """Training tokens, and how many of them are distinct: hashes are dealt, and counted where they meet."""
 
     def dealt(batches):
-        hashes, tokens, seen = WordHashes(), 0, np.zeros(0, np.uint64)
+        hashes, tokens, seen, held = WordHashes(), 0, [], 0
 
         def flush():
-            for target, at in by_target(seen, targets):
-                yield pa.RecordBatch.from_pydict({"target": pa.array([target], pa.int32()), "keys": pa.array([seen[at].tobytes()], pa.binary()), "n": pa.array([0], pa.int64())})
+            keys = np.unique(np.concatenate(seen)) if seen else np.zeros(0, np.uint64)
+            for target, at in by_target(keys, targets):
+                yield pa.RecordBatch.from_pydict({"target": pa.array([target], pa.int32()), "keys": pa.array([keys[at].tobytes()], pa.binary()), "n": pa.array([0], pa.int64())})
 
         for b in batches:
             for start in range(0, b.num_rows, 500):
-                got = [_tokens(t, hashes) for t in b.column(0).slice(start, 500).to_pylist()]
-                tokens += sum(map(len, got))
-                seen = np.unique(np.concatenate([seen, *got]))
-                if len(seen) > 2_000_000:
+                got = np.concatenate([_tokens(t, hashes) for t in b.column(0).slice(start, 500).to_pylist()])
+                tokens += len(got)
+                seen.append(pa.array(got).unique().to_numpy())
+                held += len(seen[-1])
+                if held > 4_000_000:
                     yield from flush()
-                    seen = np.zeros(0, np.uint64)
+                    seen, held = [], 0
         yield from flush()
         yield pa.RecordBatch.from_pydict({"target": pa.array([0], pa.int32()), "keys": pa.array([b""], pa.binary()), "n": pa.array([tokens], pa.int64())})
 
@@ -112,54 +141,46 @@ def score_corpus(documents: DataFrame, id_col="doc_id", text_col="text", folds=7
         bundle = table["bundle"][0].as_py()
         flat, lengths = _flat(table["text"].to_pylist(), WordHashes(), order)
         train = np.repeat(~table["held_out"].to_numpy(zero_copy_only=False).astype(bool), lengths)
-        own = _own_counts(flat, train)
-        keys, counts = (np.concatenate([o[i] for o in own]) for i in (0, 1))
-        # Orders share one key space; unigrams are even where longer n-grams are odd, by a shift of the first.
-        keys[: len(own[0][0])] <<= np.uint64(1)
-        rows = [(t, keys[at].tobytes(), counts[at].astype(np.uint32).tobytes()) for t, at in by_target(mixed(keys, keys), n_bundles)]
+        keys, counts, dealt = _dealt(_own_counts(flat, train), n_bundles)
+        rows = [(t, _squeezed(np.diff(keys[at], prepend=np.uint64(0))), _squeezed(counts[at].astype(np.uint32))) for t, at in dealt]
         return pa.table({"target": pa.array([r[0] for r in rows], pa.int32()), "bundle": pa.array([bundle] * len(rows), pa.int32()), "keys": pa.array([r[1] for r in rows], pa.binary()), "counts": pa.array([r[2] for r in rows], pa.binary())})
 
     def total(table: pa.Table) -> pa.Table:
-        bundles = table["bundle"].to_pylist()
-        keys = [np.frombuffer(k, np.uint64) for k in table["keys"].to_pylist()]
-        counts = [np.frombuffer(c, np.uint32) for c in table["counts"].to_pylist()]
-        all_keys, at = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.bincount(at, weights=np.concatenate(counts), minlength=len(all_keys)).astype(np.int64)
-        rows, start = [], 0
-        for bundle, k, c in zip(bundles, keys, counts):
-            mine = sums[at[start : start + len(k)]]
+        bundles, target = table["bundle"].to_pylist(), table["target"][0].as_py()
+        keys = [np.cumsum(_expanded(k, np.uint64), dtype=np.uint64) for k in table["keys"].to_pylist()]
+        counts = [_expanded(c, np.uint32) for c in table["counts"].to_pylist()]
+        coded = pa.array(np.concatenate(keys)).dictionary_encode()
+        at = coded.indices.to_numpy()
+        sums = np.bincount(at, weights=np.concatenate(counts), minlength=len(coded.dictionary)).astype(np.int64)
+        more, start = [], 0
+        for k, c in zip(keys, counts):
+            more.append(_squeezed(sums[at[start : start + len(k)]] - c))
             start += len(k)
-            other = mine != c
-            rows.append((bundle, k[other].tobytes(), mine[other].tobytes()))
-        target = table["target"][0].as_py()
-        return pa.table({"target": pa.array([target] * len(rows), pa.int32()), "bundle": pa.array([r[0] for r in rows], pa.int32()), "keys": pa.array([r[1] for r in rows], pa.binary()), "counts": pa.array([r[2] for r in rows], pa.binary())})
+        return pa.table({"target": pa.array([target] * len(more), pa.int32()), "bundle": pa.array(bundles, pa.int32()), "more": pa.array(more, pa.binary())})
 
     def run(docs: pa.Table, back: pa.Table) -> pa.Table:
         flat, lengths = _flat(docs["text"].to_pylist(), WordHashes(), order)
         held = docs["held_out"].to_numpy(zero_copy_only=False).astype(bool)
         own = _own_counts(flat, np.repeat(~held, lengths))
-        got = [np.frombuffer(b"".join(back[c].to_pylist()), kind) for c, kind in (("keys", np.uint64), ("counts", np.int64))]
-        for m, (keys, counts) in enumerate(own):
-            known = keys << np.uint64(1) if m == 0 else keys
-            sort = np.argsort(known)
-            at = np.searchsorted(known, got[0], sorter=sort)
-            at = sort[np.minimum(at, len(sort) - 1)] if len(sort) else at
-            hit = known[at] == got[0] if len(sort) else np.zeros(len(at), bool)
-            counts[at[hit]] = got[1][hit]
-        c1 = own[0][1][np.searchsorted(own[0][0], flat[0])]
+        _, counts, dealt = _dealt(own, n_bundles)
+        more = dict(zip(back["target"].to_pylist(), back["more"].to_pylist()))
+        for target, at in dealt:  # every target answers every bundle that sent it keys
+            counts[at] += _expanded(more[target], np.int64)
+        ends = np.cumsum([len(o[0]) for o in own])
+        totals = np.split(counts, ends[:-1])
+        c1 = totals[0][own[0][2]]
         first = np.r_[0, np.cumsum(lengths)[:-1]]
         p = (c1 + 1.0) / (tokens + distinct + 1.0)
         base = np.log10(p)
         starts = np.zeros(len(p), bool)
         starts[first] = True
         context = np.r_[np.int64(0), c1[:-1]]
-        context[starts] = own[0][1][np.searchsorted(own[0][0], END)]
+        context[starts] = c1[first + lengths - 1]  # each text's last token is END
         for m in range(1, order):
             # The state before a token is the longest context that training has; an unseen arc fails over
             # to the state one shorter, whose weight is the p of the round before.
-            there = flat[m] != 0
-            seen = np.zeros(len(p), np.int64)
-            seen[there] = own[m][1][np.searchsorted(own[m][0], flat[m][there])]
+            there = own[m][2] >= 0
+            seen = np.where(there, totals[m][own[m][2]], 0) if len(totals[m]) else np.zeros(len(p), np.int64)
             arc = (seen + strength * p) / (context + strength)
             p = np.where(there & (context > 0), arc, p)
             context = np.r_[np.int64(0), seen[:-1]]
@@ -168,6 +189,6 @@ def score_corpus(documents: DataFrame, id_col="doc_id", text_col="text", folds=7
         return pa.table([docs["doc_id"], docs["held_out"], pa.array(lengths), pa.array(add((c1 > 0).astype(np.int64))), pa.array(add(base)), pa.array(add(np.log10(p)))], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     counted = bundled.groupBy("bundle").applyInArrow(count, _COUNTS)
-    totals = counted.repartition(n_bundles, "target").groupBy("target").applyInArrow(total, _COUNTS).select("bundle", "keys", "counts")
+    totals = counted.repartition(n_bundles, "target").groupBy("target").applyInArrow(total, _MORE)
     scored = bundled.groupBy("bundle").cogroup(totals.groupBy("bundle")).applyInArrow(run, _SCORES.format(id=texts.schema["doc_id"].dataType.simpleString()))
     return scored.select(F.col("doc_id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
