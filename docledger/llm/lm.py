@@ -135,7 +135,7 @@ def score_corpus(documents: DataFrame, id_col="doc_id", text_col="text", folds=7
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     n_bundles = max(1, math.ceil(chars / bundle_chars))
     tokens, distinct = _corpus_size(texts, n_bundles)
-    bundled = texts.withColumn("bundle", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_bundles)).cast("int")).repartition(n_bundles, "bundle")
+    bundled = texts.withColumn("bundle", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_bundles)).cast("int")).repartition(4 * n_bundles, "bundle")
 
     def count(table: pa.Table) -> pa.Table:
         bundle = table["bundle"][0].as_py()
@@ -189,6 +189,6 @@ def score_corpus(documents: DataFrame, id_col="doc_id", text_col="text", folds=7
         return pa.table([docs["doc_id"], docs["held_out"], pa.array(lengths), pa.array(add((c1 > 0).astype(np.int64))), pa.array(add(base)), pa.array(add(np.log10(p)))], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     counted = bundled.groupBy("bundle").applyInArrow(count, _COUNTS)
-    totals = counted.repartition(n_bundles, "target").groupBy("target").applyInArrow(total, _MORE)
+    totals = counted.repartition(4 * n_bundles, "target").groupBy("target").applyInArrow(total, _MORE)
     scored = bundled.groupBy("bundle").cogroup(totals.groupBy("bundle")).applyInArrow(run, _SCORES.format(id=texts.schema["doc_id"].dataType.simpleString()))
     return scored.select(F.col("doc_id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
