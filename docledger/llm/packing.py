@@ -40,7 +40,7 @@ class _Ids:
     #: ASCII characters that are no letter, digit, space, apostrophe or part of a special token.
     TAIL = b"!\"#$%&()*+,-./:;=?@[]^_`{}~"
 
-    def __init__(self, tokenizer, bound: int = 450_000):
+    def __init__(self, tokenizer, bound: int = 320_000):
         self.tokenizer, self.bound = tokenizer, bound
         self.now: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -142,6 +142,7 @@ def tokenized(documents: DataFrame, tokenizer: str, length: int, id_col="doc_id"
                         rows.append((key, piece, start // 4, len(part) // 4, zlib.crc32(part), salt, part))
                 kinds[0] = b.schema.field(0).type
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(len(names))], names)
+        ids.old = {}  # a worker between tasks holds one generation only
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, salt long" + ", ids binary" * with_ids
     return documents.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).mapInArrow(cut, schema)
