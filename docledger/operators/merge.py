@@ -20,7 +20,7 @@ def merge_records(records: DataFrame) -> DataFrame:
 
 
 def _merged_extra(order):
-    maps = F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), "extra"))), lambda s: s["extra"])
+    maps = F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), F.map_entries("extra").alias("e")))), lambda s: F.map_from_entries(s["e"]))
     earlier = F.aggregate(maps, F.create_map().cast("map<string,string>"), lambda a, m: F.map_concat(a, F.map_filter(m, lambda k, v: ~F.map_contains_key(a, k))))
     return earlier.alias("extra")
 
