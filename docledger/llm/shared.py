@@ -1,40 +1,20 @@
-"""Helpers the operators share: the shared folder, written tables, token hashes."""
+"""Helpers the operators share: words, folds, token hashes."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docledger.storage import shared_dir, written  # noqa: F401  for the operators
+
 #: A word: a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors and the driver see; one of our own only where none is set (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="docledger-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write to the shared folder as Parquet and read that back.
-
-    A lost executor then costs only the tasks that ran on it, never the stages before.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/docledger/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fold_of(doc_id: str, folds: int) -> Column:
     """crc32 of the id as text, modulo `folds`; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds

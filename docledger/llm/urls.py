@@ -50,12 +50,13 @@ def candidate_keys(host: Column, path: Column, lengths: list[int]) -> Column:
 class Bloom:
     bits: np.ndarray
     hashes: int
+    first: int  # number of its first hash function; no two levels share one, else the same keys could collide for ever
 
     def has(self, x: np.ndarray) -> np.ndarray:
         size = np.uint64(len(self.bits) * 8)
         out = np.ones(len(x), bool)
         for i in range(self.hashes):
-            at = positions(x, i, size)
+            at = positions(x, self.first + i, size)
             out &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
         return out
 
@@ -67,7 +68,7 @@ def positions(x: np.ndarray, i: int, size) -> np.ndarray:
     return ((y >> np.uint64(11)) % size).astype(np.int64)
 
 
-def _bloom(keys: DataFrame, count: int, bits_per_key: int, chunk: int = 1 << 16, keys_per_task: int = 1 << 20) -> Bloom:
+def _bloom(keys: DataFrame, count: int, bits_per_key: int, level: int, chunk: int = 1 << 16, keys_per_task: int = 1 << 20) -> Bloom:
     """A filter of the column `key` (64-bit hashes): tasks mark bit sets, whose chunks are or-ed where they meet."""
     n_bytes = max(8, count * bits_per_key // 8)
     hashes = max(1, round(bits_per_key * 0.7))
@@ -77,7 +78,7 @@ def _bloom(keys: DataFrame, count: int, bits_per_key: int, chunk: int = 1 << 16,
         for b in batches:
             x = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for i in range(hashes):
-                at = positions(x, i, np.uint64(n_bytes * 8))
+                at = positions(x, level * hashes + i, np.uint64(n_bytes * 8))
                 np.bitwise_or.at(bits, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
         for start in range(0, n_bytes, chunk):
             if (part := bits[start : start + chunk]).any():
@@ -92,7 +93,7 @@ def _bloom(keys: DataFrame, count: int, bits_per_key: int, chunk: int = 1 << 16,
     bits = np.zeros(n_bytes, np.uint8)
     for row in parts.groupBy("start").applyInArrow(merged, "start long, bits binary").collect():
         bits[row.start : row.start + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
-    return Bloom(bits, hashes)
+    return Bloom(bits, hashes, level * hashes)
 
 
 @dataclass
@@ -124,7 +125,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame, bits_per_key: int = 8,
         count = inside.count()
         if not count:
             return cascade
-        cascade.levels.append(_bloom(inside, count, bits_per_key))
+        cascade.levels.append(_bloom(inside, count, bits_per_key, len(cascade.levels)))
         if cascade.n_bytes > max_bytes:
             raise ValueError(f"the cascade has {cascade.n_bytes} bytes; at most {max_bytes} are sent to the executors")
         last = cascade.levels[-1]
