@@ -116,7 +116,7 @@ def _z_scores(rows: list[tuple[int, dict]]) -> dict[bytes, float]:
     out = {}
     for w in seen[0].keys() | seen[1].keys():
         a, b = seen[0][w], seen[1][w]
-        if a + b >= 20:
+        if a + b >= max(5, 0.002 * sum(n)):
             p = (a + b + 1) / (n[0] + n[1] + 2)
             out[w] = (b / n[1] - a / n[0]) / math.sqrt(p * (1 - p) * (1 / n[0] + 1 / n[1]))
     return out
@@ -159,7 +159,8 @@ def fit_severity(rows: list[tuple[int, dict]], min_z: float = 8.0, max_features:
     gain = [(p[y > 0] >= t).mean() - (p[y == 0] >= t).mean() for t in marks]
     best = marks[int(np.argmax(gain))]
     below = p[(y == 0) & (p < best)].max(initial=0.0)
-    return SeverityModel({k: float(x) for k, x in zip(words, w)}, tuple(map(float, theta)), float(min(0.5, (best + below) / 2)))
+    flag_at = min(0.5, (best + below) / 2) if max(gain) > 0.1 else 0.5
+    return SeverityModel({k: float(x) for k, x in zip(words, w)}, tuple(map(float, theta)), float(flag_at))
 
 
 def severity_model(documents: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", grade_col="toxic", sample_per_side=3000, min_z=8.0, binary_grades=True, max_features=256) -> SeverityModel:
