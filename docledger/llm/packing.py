@@ -54,26 +54,29 @@ class _Ids:
         lists = pc.ascii_split_whitespace(plain)
         coded = lists.flatten().dictionary_encode()
         runs = coded.dictionary.cast(pa.binary()).to_pylist()
-        self._learn(set(runs))
+        self._learn(runs)
         get = self.now.__getitem__
         known = [get(r) for r in runs]
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        sizes = np.fromiter(map(len, known), np.int32, len(known)) // 4
         ids = np.frombuffer(b"".join(known), "<u4")
         which = coded.indices.to_numpy(zero_copy_only=False)
         n = sizes[which]
-        ends = np.cumsum(n)
-        begins = (np.cumsum(sizes) - sizes)[which]
-        line = ids[np.repeat(begins - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        kind = np.int32 if texts.nbytes < 2**29 else np.int64  # a text has no more ids than four a byte
+        ends = np.cumsum(n, dtype=kind)
+        begins = (np.cumsum(sizes, dtype=kind) - sizes)[which]
+        line = ids[np.repeat(begins - ends + n, n) + np.arange(ends[-1] if len(ends) else 0, dtype=kind)]
         at = np.r_[0, ends][lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         return [line[i:j].tobytes() for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
 
-    def _learn(self, runs: set[bytes]) -> None:
+    def _learn(self, runs: list[bytes]) -> None:
         now, old = self.now, self.old
         if len(now) + len(runs) > self.bound:
             self.now, self.old = now, old = {}, now
         now[b""] = b""  # what Arrow makes of white space at an end
         new, closed = set(), []
-        for run in runs.difference(now):
+        for run in runs:
+            if run in now:
+                continue
             if run in old:
                 now[run] = old[run]
                 continue
@@ -132,9 +135,9 @@ def tokenized(documents: DataFrame, tokenizer: str, length: int, id_col="doc_id"
     def cut(batches):
         ids, salt = _ids(tokenizer), 0
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
+            for at in range(0, b.num_rows, 2500):
                 rows: list[tuple] = []
-                for key, blob in zip(b.column(0).slice(at, 1000).to_pylist(), ids.of(b.column(1).slice(at, 1000))):
+                for key, blob in zip(b.column(0).slice(at, 2500).to_pylist(), ids.of(b.column(1).slice(at, 2500))):
                     blob += b"\0\0\0\0"
                     for piece, start in enumerate(range(0, len(blob), 4 * length)):
                         part = blob[start : start + 4 * length]
