@@ -99,6 +99,19 @@ def extract_value(kind: Column, raw: Column) -> Column:
     return F.coalesce(F.when(kind == "fecha", day).when(kind == "importe", amount).when(kind == "cuenta", pick(account)).otherwise(pick(folio)), text)
 
 
+def crop_score(kind: Column, raw: Column, confidences: Column) -> Column:
+    """How well a region was read: mean confidence, more for a valid value, less for mixed-up characters and many words.
+
+    No words: a mean of nought.  Null confidences count as nought.
+    """
+    issues = validate_field(kind, extract_value(kind, raw), F.lit(None).cast("double"))
+    valid = ~F.arrays_overlap(issues, F.array(*map(F.lit, ("formato_invalido", "fecha_invalida", "sin_lectura"))))
+    words = F.greatest(F.coalesce(F.size(confidences), F.lit(0)), F.lit(0))
+    total = F.aggregate(F.coalesce(confidences, F.array().cast("array<double>")), F.lit(0.0), lambda a, c: a + F.greatest(F.coalesce(c, F.lit(0.0)), F.lit(0.0)))
+    confused = F.array_contains(issues, "confusion_alfanumerica")
+    return total / F.greatest(words, F.lit(1)) + F.when(valid, 20).otherwise(0) - F.when(confused, 15).otherwise(0) - 2 * F.greatest(words - 12, F.lit(0))
+
+
 def reading_error(raw: Column, expected: Column) -> Column:
     """sin_error, omitido, separadores_o_formato or lectura_incorrecta."""
     value, aim = F.lower(normalize(raw)), F.lower(normalize(expected))

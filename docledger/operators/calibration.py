@@ -90,3 +90,22 @@ def best_variant(variants: DataFrame, by: list[str], plain: str = "gray", lead:
     weighed = F.when((F.col("variant") != plain) & (F.col("score") <= plain_score * lead), F.lit(None)).otherwise(F.col("score"))
     order = Window.partitionBy(*by).orderBy(F.desc_nulls_last("weighed"), "variant")
     return variants.withColumn("weighed", weighed).withColumn("k", F.row_number().over(order)).where("k = 1").drop("k", "weighed")
+
+
+def accuracy_breakdown(records: DataFrame) -> DataFrame:
+    """Accuracy of fields (kind, document, exact) in all, by kind and by document, in one pass: level, name, fields, exact, percent."""
+    level = F.grouping_id("kind", "document")
+    out = records.groupingSets([["kind"], ["document"], []], "kind", "document").agg(level.alias("g"), F.count(F.lit(1)).alias("fields"), F.count_if("exact").alias("exact"))
+    named = F.when(F.col("g") == 1, "tipo").when(F.col("g") == 2, "documento").otherwise("total")
+    return out.select(named.alias("level"), F.when(F.col("g") == 1, F.col("kind")).when(F.col("g") == 2, F.col("document")).alias("name"), "fields", "exact", F.round(100 * F.col("exact") / F.col("fields"), 2).alias("percent"))
+
+
+def timings(runs: DataFrame, orientation: DataFrame, plain: str = "A") -> DataFrame:
+    """profile, total_seconds, seconds_per_page of runs (profile, page_id, seconds).
+
+    Every profile but the plain one bears the seconds of the shared orientation (seconds: decimal, one row each).
+    """
+    shared = orientation.agg(F.coalesce(F.sum("seconds"), F.lit(0)).alias("shared"))
+    out = runs.groupBy("profile").agg(F.sum("seconds").alias("own"), F.countDistinct("page_id").alias("pages")).crossJoin(F.broadcast(shared))  # one row
+    total = F.coalesce("own", F.lit(0)) + F.when(F.col("profile") == plain, 0).otherwise(F.col("shared"))
+    return out.select("profile", F.round(total, 2).cast("decimal(18,2)").alias("total_seconds"), F.round(F.try_divide(total, F.col("pages")).cast("double"), 2).alias("seconds_per_page"))

@@ -65,3 +65,19 @@ def log_warnings(lines: DataFrame, words: tuple[str, ...] = ("warning", "error",
     page = F.nullif(F.regexp_extract("line", r"^\s*(\d+)\b", 1), F.lit("")).try_cast("int")
     rows = lines.withColumn("page_number", page).where(F.col("page_number").isNotNull() & F.lower("line").rlike("|".join(words)))
     return rows.groupBy("document_id", "page_number").agg(F.array_sort(F.collect_list(F.btrim("line"))).alias("warnings"))
+
+
+def page_audit(original: DataFrame, result: DataFrame, states: DataFrame, found: DataFrame) -> DataFrame:
+    """What a run did to each page of the result: characters before and after, and whether the original is intact.
+
+    original, result: path, page, text; states: path, hash, status; found: path, hash as the file has now.
+    Only states of success are told; a page that the original lacks has no characters before.
+    """
+    done = states.where(F.col("status").isin(*SUCCESS)).select("path", F.col("hash").alias("original_hash"))
+    now = found.select("path", F.col("hash").alias("hash_now"))
+    chars = F.length(F.coalesce("text", F.lit("")))
+    before = original.select("path", "page", chars.alias("characters_before"))
+    after = result.select("path", "page", chars.alias("characters_after"))
+    out = after.join(done, "path").join(now, "path", "left").join(before, ["path", "page"], "left")
+    intact = F.coalesce(F.col("hash_now") == F.col("original_hash"), F.lit(False))
+    return out.select("path", "page", "original_hash", intact.alias("intact"), F.coalesce("characters_before", F.lit(0)).alias("characters_before"), "characters_after")

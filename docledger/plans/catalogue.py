@@ -6,7 +6,6 @@ tables.  Sums of money are decimals; counts are long; arrays are joined to text
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -484,6 +483,49 @@ def q_profile_accuracy(spark, sf_dir):
     return calibration.profile_accuracy(rows, "P0")
 
 
+@query(f"""with w as (select k, k % 6 as m, k % 15 as n, greatest(0, k % 100 - 10) as c from {ORDERS})
+  select k, round(case when n = 0 then 0 else c end + case when m in (1, 3, 5) then 20 when m = 2 then -15 else 0 end - 2 * greatest(0, n - 12), 4)::double as score from w""")
+def q_crop_score(spark, sf_dir):
+    """Regions scored by the value read and the confidence of their words."""
+    o, m = fx.orders(spark, sf_dir), F.col("k") % 6
+    kind = F.when(m.isin(1, 2), "importe").when(m.isin(3, 4), "fecha").otherwise("cuenta")
+    raw = F.when(m == 0, F.lit("  ")).when(m == 1, F.concat(F.lit("$ "), fx.money(F.col("amount")))).when(m == 2, F.lit("1O0.0")).when(m == 3, F.date_format("day", "dd/MM/yyyy")).when(m == 4, F.lit("31/02/2021")).otherwise(F.lit("1234567890"))
+    sure = F.array_repeat((F.col("k") % 100 - 10).cast("double"), (F.col("k") % 15).cast("int"))
+    return o.select("k", F.round(fields.crop_score(kind, raw, sure), 4).alias("score"))
+
+
+@query("""with r as (select case when quality = 1 then 'bueno' else 'malo' end as kind, 'D' || (doc_id % 10) as document, doc_id % 3 <> 0 as exact from labels),
+  a as (select 'total' as level, null as name, count(*) as fields, count_if(exact) as exact from r union all select 'tipo', kind, count(*), count_if(exact) from r group by kind union all select 'documento', document, count(*), count_if(exact) from r group by document)
+  select level, name, fields, exact, round(100 * exact / fields, 2) as percent from a""")
+def q_accuracy_breakdown(spark, sf_dir):
+    """Accuracy in all, by kind of field and by document."""
+    rows = read(spark, sf_dir, "labels").select(F.when(F.col("quality") == 1, "bueno").otherwise("malo").alias("kind"), F.concat(F.lit("D"), F.col("doc_id") % 10).alias("document"), (F.col("doc_id") % 3 != 0).alias("exact"))
+    return calibration.accuracy_breakdown(rows)
+
+
+@query("""with e as (select 'ABCD'[cast(1 + event_id % 4 as integer)] as profile, user_id as page_id, event_type, cast(round(value, 2) as decimal(18,2)) as seconds from events),
+  o as (select coalesce(sum(seconds), 0) as shared from e where event_type = 'view'),
+  t as (select profile, sum(seconds) + case when profile = 'A' then 0 else any_value(shared) end as total, count(distinct page_id) as pages from e, o where event_type <> 'view' group by profile)
+  select profile, cast(total as decimal(18,2)) as total_seconds, round(cast(total as double) / pages, 2) as seconds_per_page from t""")
+def q_reading_timings(spark, sf_dir):
+    """Seconds by reading profile, with the shared orientation."""
+    e = read(spark, sf_dir, "events").select(F.substring(F.lit("ABCD"), (1 + F.col("event_id") % 4).cast("int"), F.lit(1)).alias("profile"), F.col("user_id").alias("page_id"), "event_type", F.round("value", 2).cast("decimal(18,2)").alias("seconds"))
+    return calibration.timings(e.where("event_type <> 'view'"), e.where("event_type = 'view'"))
+
+
+@query("""select 'C' || conv_id as path, turn as page, sha256('C' || conv_id) as original_hash, conv_id % 5 <> 0 as intact, case when turn % 7 = 6 then 0 else length(coalesce(text, '')) end as characters_before, length(coalesce(text, '') || '!') as characters_after
+  from conversations where conv_id % 3 <> 0""")
+def q_page_audit(spark, sf_dir):
+    """Pages before and after a run, and whether their originals are intact."""
+    path = F.concat(F.lit("C"), F.col("conv_id"))
+    pages = read(spark, sf_dir, "conversations").select("conv_id", path.alias("path"), F.col("turn").alias("page"), F.coalesce("text", F.lit("")).alias("text"))
+    files = pages.select("conv_id", "path").distinct().withColumn("hash", F.sha2("path", 256))
+    states = files.select("path", "hash", F.when(F.col("conv_id") % 3 == 0, "failed").otherwise("completed").alias("status"))
+    found = files.select("path", F.when(F.col("conv_id") % 5 == 0, "x").otherwise(F.col("hash")).alias("hash"))
+    out = inventory.page_audit(pages.where("page % 7 <> 6"), pages.withColumn("text", F.concat("text", F.lit("!"))), states, found)
+    return out.withColumns({c: F.col(c).cast("long") for c in ("characters_before", "characters_after")})
+
+
 # ---- search, states, sets --------------------------------------------------------------------------------------
 
 
@@ -546,18 +588,17 @@ def q_nested_export(spark, sf_dir):
 @query()
 def q_sheet_source(spark, sf_dir):
     """A payment workbook, written and read back with its total row."""
-    import os
+    import io
     import zipfile
 
     from docledger.sources import sheet
-    from docledger.storage import shared_dir
+    from docledger.storage import save_bytes
 
     cells = [("cuenta", "origen", "fecha", "mes", "importe", "concepto"), ("POL 12", "caja", "1/2/2021", "FEB", "93.198.98", "obra"), ("", "", "", "", "", ""), ("TOTAL", "", "", "", "93198.98", "")]
     body = "".join(f"<row r='{r}'>" + "".join(f"<c r='{col}{r}' t='inlineStr'><is><t>{v}</t></is></c>" for col, v in zip("ABCDEF", row) if v) + "</row>" for r, row in enumerate(cells, 1))
-    folder = shared_dir(spark).removeprefix("file://")
-    folder = folder if os.path.isdir(folder) else tempfile.mkdtemp()
-    path = os.path.join(folder, "pagos.xlsx")
-    with zipfile.ZipFile(path, "w") as z:
+    book = io.BytesIO()
+    with zipfile.ZipFile(book, "w") as z:
         z.writestr("xl/worksheets/sheet1.xml", f"<worksheet><sheetData>{body}</sheetData></worksheet>")
-    rows, total = sheet.payment_rows(sheet.read_sheets(spark, f"file://{path}"))
+    path = save_bytes(spark, book.getvalue(), "pagos.xlsx")
+    rows, total = sheet.payment_rows(sheet.read_sheets(spark, path))
     return rows.crossJoin(total)  # one total row

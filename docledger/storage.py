@@ -26,3 +26,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/docledger/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def save_bytes(spark: SparkSession, content: bytes, name: str) -> str:
+    """Write one small file into a new folder of the shared folder, through its own file system; its path."""
+    path = f"{shared_dir(spark)}/docledger/{uuid.uuid4().hex}/{name}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, False)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+    return path
