@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from docledger.functions import fixed
+from docledger.functions import fields, fixed
 from docledger.operators import calibration, catalog, crossref, extract, inventory, linkage, merge, search
 from docledger.operators.components import components
 from docledger.sources import files, sheet
@@ -142,3 +142,28 @@ def test_stream(spark, tmp_path):
     q = stream.start(stream.extracted(stream.page_stream(spark, f"{tmp_path}/in")), f"{tmp_path}/out", f"{tmp_path}/cp")
     q.awaitTermination(120)
     assert spark.read.parquet(f"{tmp_path}/out").count() == 2
+
+
+def test_crop_score(spark):
+    rows = [(1, "importe", "$ 1,200.50", [90.0, 70.0]), (2, "importe", "1O0.0", [50.0]), (3, "fecha", None, None), (4, "cuenta", "1234567890", [80.0, None] * 7), (5, "folio", "A-12", [])]
+    df = spark.createDataFrame(rows, "i int, kind string, raw string, sure array<double>")
+    got = {r.i: r.s for r in df.select("i", fields.crop_score(F.col("kind"), F.col("raw"), F.col("sure")).alias("s")).collect()}
+    assert got == {1: 100.0, 2: 35.0, 3: 0.0, 4: 56.0, 5: 20.0}
+
+
+def test_breakdown_and_timings_of_few_rows(spark):
+    records = spark.createDataFrame([("importe", "a", True), ("importe", "b", False), (None, "b", None)], "kind string, document string, exact boolean")
+    got = {(r.level, r.name): (r.fields, r.exact) for r in calibration.accuracy_breakdown(records).collect()}
+    assert got == {("total", None): (3, 1), ("tipo", "importe"): (2, 1), ("tipo", None): (1, 0), ("documento", "a"): (1, 1), ("documento", "b"): (2, 0)}
+    assert {r.fields for r in calibration.accuracy_breakdown(records.limit(0)).collect()} <= {0}
+    runs = spark.createDataFrame([("A", 1, Decimal("2.00")), ("B", 1, Decimal("1.50")), ("B", 2, None)], "profile string, page_id int, seconds decimal(18,2)")
+    told = {r.profile: (float(r.total_seconds), r.seconds_per_page) for r in calibration.timings(runs, runs.where("profile = 'A'")).collect()}
+    assert told == {"A": (2.0, 2.0), "B": (3.5, 1.75)}
+    assert {r.profile: float(r.total_seconds) for r in calibration.timings(runs, runs.limit(0)).collect()} == {"A": 2.0, "B": 1.5}
+
+
+def test_page_audit(spark):
+    pages = spark.createDataFrame([("a", 1, None), ("a", 2, "xy"), ("b", 1, "x")], "path string, page int, text string")
+    states = spark.createDataFrame([("a", "h", "completed"), ("b", "h", "failed")], "path string, hash string, status string")
+    out = inventory.page_audit(pages.where("page = 1"), pages, states, states.limit(0)).collect()
+    assert sorted((r.path, r.page, r.intact, r.characters_before, r.characters_after) for r in out) == [("a", 1, False, 0, 0), ("a", 2, False, 0, 2)]
