@@ -68,9 +68,13 @@ def positions(x: np.ndarray, i: int, size) -> np.ndarray:
     return ((y >> np.uint64(11)) % size).astype(np.int64)
 
 
+def filter_bytes(count: int, bits_per_key: int) -> int:
+    return max(8, count * bits_per_key // 8)
+
+
 def _bloom(keys: DataFrame, count: int, bits_per_key: int, level: int, chunk: int = 1 << 16, keys_per_task: int = 1 << 20) -> Bloom:
     """A filter of the column `key` (64-bit hashes): tasks mark bit sets, whose chunks are or-ed where they meet."""
-    n_bytes = max(8, count * bits_per_key // 8)
+    n_bytes = filter_bytes(count, bits_per_key)
     hashes = max(1, round(bits_per_key * 0.7))
 
     def marked(batches):
@@ -125,9 +129,9 @@ def build_cascade(listed: DataFrame, universe: DataFrame, bits_per_key: int = 8,
         count = inside.count()
         if not count:
             return cascade
+        if (wanted := cascade.n_bytes + filter_bytes(count, bits_per_key)) > max_bytes:
+            raise ValueError(f"the cascade has {wanted} bytes; at most {max_bytes} are sent to the executors")
         cascade.levels.append(_bloom(inside, count, bits_per_key, len(cascade.levels)))
-        if cascade.n_bytes > max_bytes:
-            raise ValueError(f"the cascade has {cascade.n_bytes} bytes; at most {max_bytes} are sent to the executors")
         last = cascade.levels[-1]
 
         def taken(batches, last=last):
