@@ -12,6 +12,9 @@ Scale: the automaton is never gathered in one place.  Texts are dealt into bundl
 rest of each n-gram's total goes back to the bundles that hold it, in the order they sent it; a
 bundle then builds the part of the automaton that its texts can reach and runs it over them.  A frequent
 n-gram is one entry a bundle, so no key is hot; nothing is broadcast but two numbers (N and V).
+A shuffle has at most `max_partitions` partitions, each then with several bundles, one in memory at a time.
+The rows dealt grow with the square of the number of bundles until each holds one n-gram, so a corpus of
+many terabytes wants larger executors and `bundle_chars`.
 
 Tokens: words lower-cased (A-Z), then one end, which is also the start context.  Null text: empty, one
 token.  Texts in the held-out fold are scored but not counted.  Repeated rows: scored and counted each.
@@ -97,7 +100,7 @@ def _expanded(b: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-def _corpus_size(texts: DataFrame, targets: int) -> tuple[int, int]:
+def _corpus_size(texts: DataFrame, targets: int, max_partitions: int) -> tuple[int, int]:
     """Training tokens, and how many of them are distinct: hashes are dealt, and counted where they meet."""
 
     def dealt(batches):
@@ -125,17 +128,18 @@ def _corpus_size(texts: DataFrame, targets: int) -> tuple[int, int]:
         return pa.table({"v": pa.array([len(np.unique(np.concatenate(keys)))], pa.int64()), "n": pa.array([sum(table["n"].to_pylist())], pa.int64())})
 
     parts = texts.where("not held_out").select("text").mapInArrow(dealt, "target int, keys binary, n long")
-    row = parts.repartition(targets, "target").groupBy("target").applyInArrow(met, "v long, n long").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).first()
+    row = parts.repartition(min(targets, max_partitions), "target").groupBy("target").applyInArrow(met, "v long, n long").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).first()
     return int(row.n or 0), int(row.v or 0)
 
 
-def score_corpus(documents: DataFrame, id_col="doc_id", text_col="text", folds=7, held_out_fold=2, order=2, strength=2000.0, bundle_chars=12 << 20) -> DataFrame:
+def score_corpus(documents: DataFrame, id_col="doc_id", text_col="text", folds=7, held_out_fold=2, order=2, strength=2000.0, bundle_chars=12 << 20, max_partitions=32_768) -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score, score; a row for each row."""
     texts = documents.select(F.col(id_col).alias("doc_id"), (fold_of(id_col, folds) == held_out_fold).alias("held_out"), text_bytes(text_col).alias("text"))
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     n_bundles = max(1, math.ceil(chars / bundle_chars))
-    tokens, distinct = _corpus_size(texts, n_bundles)
-    bundled = texts.withColumn("bundle", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_bundles)).cast("int")).repartition(4 * n_bundles, "bundle")
+    n_parts = min(4 * n_bundles, max_partitions)
+    tokens, distinct = _corpus_size(texts, n_bundles, max_partitions)
+    bundled = texts.withColumn("bundle", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_bundles)).cast("int")).repartition(n_parts, "bundle")
 
     def count(table: pa.Table) -> pa.Table:
         bundle = table["bundle"][0].as_py()
@@ -189,6 +193,6 @@ def score_corpus(documents: DataFrame, id_col="doc_id", text_col="text", folds=7
         return pa.table([docs["doc_id"], docs["held_out"], pa.array(lengths), pa.array(add((c1 > 0).astype(np.int64))), pa.array(add(base)), pa.array(add(np.log10(p)))], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     counted = bundled.groupBy("bundle").applyInArrow(count, _COUNTS)
-    totals = counted.repartition(4 * n_bundles, "target").groupBy("target").applyInArrow(total, _MORE)
+    totals = counted.repartition(n_parts, "target").groupBy("target").applyInArrow(total, _MORE)
     scored = bundled.groupBy("bundle").cogroup(totals.groupBy("bundle")).applyInArrow(run, _SCORES.format(id=texts.schema["doc_id"].dataType.simpleString()))
     return scored.select(F.col("doc_id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -474,3 +474,22 @@ def test_stats_of_bytes():
     for _, t in EDGE:
         s = text_stats((t or "").encode())
         assert (s.n_words, s.word_chars, s.n_symbols, s.n_dup_lines, s.n_repeat_words) == brute_stats(t)
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_edges(spark, edge, name):
+    """Nulls, empties, repeats and clashing names: every stage runs, the columns stay, and no row is made up."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    for docs in (edge, edge.limit(0)):
+        out = stage(spark, docs, SF)
+        rows = out.collect()
+        if name != "best-fit packing":
+            assert out.columns == docs.columns
+            assert {tuple(r) for r in rows} <= {tuple(r) for r in docs.collect()}
+        else:
+            assert sum(r.length for r in rows if r.piece == 0) > 0 if docs is edge else not rows
+
+
+def test_lm_with_fewer_partitions_than_bundles(spark, docs):
+    one, many = (sorted(lm.score_corpus(docs, bundle_chars=20_000, max_partitions=m).select("doc_id", "n_known", F.round("score", 6)).collect()) for m in (2, 1000))
+    assert one == many
