@@ -4,8 +4,8 @@ Index: centroids from balanced k-means over a bounded sample (`sample` vectors,
 the id); every vector is put into the list of its nearest centroid and, at a boundary, replicated into
 further lists whose centroids are nearly as near and not nearer to one chosen before than to the
 vector.  Search: a best-first walk over an in-memory graph of the centroids finds a query's nearest
-centroids; those whose distance is within `prune` of the nearest one's are searched.  Lists and
-their queries meet by list number; a list longer than `list_rows` is dealt into parts that are searched apart,
+`probes` centroids, or more until their lists are the nearest of `LEAST` (k + 1) vectors; all of these lists
+are searched, so no query is left with fewer than k answers while there are candidates.  Lists and their queries meet by list number; a list longer than `list_rows` is dealt into parts that are searched apart,
 so no task holds an unbounded list, and each part sends on its best few only.
 
 Equal vectors: of those, only the k + 1 smallest ids can be among k nearest, so only they are indexed,
@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 
 from docledger.llm.shared import written
 
+#: The lists of a query hold at least so many times k + 1 vectors, each counted in its nearest list only.
+LEAST = 4
+
 
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
@@ -78,6 +81,14 @@ class Index:
             open_ = sorted(open_ + found)[: 2 * width]
         return best
 
+    def enough(self, query: np.ndarray, width: int, held: np.ndarray, least: int) -> list[int]:
+        """The nearest `width` lists, or more until they hold `least` vectors or are all."""
+        while True:
+            found = [c for _, c in self.walk(query, width)]
+            if len(found) == len(self.centroids) or held[found].sum() >= least:
+                return found
+            width *= 2
+
 
 def build_index(sample: np.ndarray, lists: int, degree: int = 24, rounds: int = 12, seed: int = 7) -> Index:
     """Balanced k-means: a centroid that has more than its share pays for it in the next assignment."""
@@ -117,7 +128,7 @@ def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
     return rows.where(F.size("v") == (sizes.n if sizes else 0))
 
 
-def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", every=50, k=5, sample=32_768, rows_per_list=64, max_lists=4096, replicas=4, replica_ratio=1.25, prune=1.9, probes=144, list_rows=4096) -> DataFrame:
+def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", every=50, k=5, sample=32_768, rows_per_list=64, max_lists=4096, replicas=4, replica_ratio=1.25, probes=144, list_rows=4096) -> DataFrame:
     """query_id, rank, id, score: the k nearest found of each row whose id is divisible by `every`."""
     spark = vectors.sparkSession
     rows = valid_vectors(vectors, id_col, vector_col)
@@ -142,7 +153,7 @@ def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", every=50
             for start in range(0, len(x), 2048):
                 part = x[start : start + 2048]
                 at, dist = index.nearest(part, 4 * replicas)
-                which, lists = [], []
+                which, lists, first = [], [], []
                 for i in range(len(part)):
                     chosen: list[int] = []
                     for c, d in zip(at[i], dist[i]):
@@ -152,21 +163,26 @@ def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", every=50
                             chosen.append(int(c))
                     which += [start + i] * len(chosen)
                     lists += chosen
-                yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), *b.take(pa.array(which)).columns], ["list", *b.schema.names])
+                    first += [1] + [0] * (len(chosen) - 1)
+                yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), pa.array(first, pa.int32()), *b.take(pa.array(which)).columns], ["list", "first", *b.schema.names])
 
     def routed(batches):
         index = Index(*shared.value)
         for b in batches:
             which, lists = [], []
             for i, q in enumerate(_unit(_matrix(b.column("v")))):
-                found = index.walk(q, probes)
-                near = [c for d, c in found if d <= prune**2 * max(found[0][0], 1e-12)]
+                near = index.enough(q, probes, held.value, LEAST * (k + 1))
                 which += [i] * len(near)
                 lists += near
             yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), *b.take(pa.array(which)).columns], ["list", *b.schema.names])
 
-    posts = written(cand.select("id", "v").mapInArrow(placed, f"list int, id long, v {kind}"), "posts")
-    parts = written(posts.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / list_rows).cast("int").alias("parts")), "parts")
+    posts = written(cand.select("id", "v").mapInArrow(placed, f"list int, first int, id long, v {kind}"), "posts")
+    parts = written(posts.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / list_rows).cast("int").alias("parts"), F.sum("first").alias("held")), "parts")
+    sizes = np.zeros(len(index.centroids), np.int64)
+    for r in parts.select("list", "held").collect():  # at most max_lists rows
+        sizes[r.list] = r.held
+    held = spark.sparkContext.broadcast(sizes)
+    parts = parts.select("list", "parts")
     posts = posts.join(F.broadcast(parts), "list").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))  # at most max_lists rows
     asked = queries.mapInArrow(routed, f"list int, k1 long, k2 long, v {kind}").join(F.broadcast(parts), "list")
     asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))

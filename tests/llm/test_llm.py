@@ -404,6 +404,15 @@ def test_ann_recall(spark):
     assert hits / total >= 0.9
 
 
+def test_ann_isolated_queries_get_k_answers(spark):
+    """Every vector is a centroid of its own, so the nearest list of a query holds the query alone."""
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, [float(np.float32(x)) for x in rng.normal(size=8)]) for i in range(300)], "vec_id long, embedding array<float>")
+    for probes in (144, 2):
+        got = ann.search(df, every=10, rows_per_list=1, probes=probes).groupBy("query_id").count().collect()
+        assert len(got) == 30 and {r["count"] for r in got} == {5}
+
+
 # ---- op10 ------------------------------------------------------------------------------------------------------
 
 
