@@ -5,7 +5,9 @@ the id); every vector is put into the list of its nearest centroid and, at a bou
 further lists whose centroids are nearly as near and not nearer to one chosen before than to the
 vector.  Search: a best-first walk over an in-memory graph of the centroids finds a query's nearest
 `probes` centroids, or more until their lists are the nearest of `LEAST` (k + 1) vectors; all of these lists
-are searched, so no query is left with fewer than k answers while there are candidates.  Lists and their queries meet by list number; a list longer than `list_rows` is dealt into parts that are searched apart,
+are searched, so no query is left with fewer than k answers while there are candidates.  How many `probes` follows
+from the index: the exact neighbours of at most `tuning` queries are found, and `probes` grows until the lists walked
+to hold `recall` of them.  Lists and their queries meet by list number; a list longer than `list_rows` is dealt into parts that are searched apart,
 so no task holds an unbounded list, and each part sends on its best few only.
 
 Equal vectors: of those, only the k + 1 smallest ids can be among k nearest, so only they are indexed,
@@ -19,6 +21,7 @@ that were found.  Empty tables: an empty result.
 
 from __future__ import annotations
 
+import heapq
 import math
 from dataclasses import dataclass
 
@@ -65,21 +68,43 @@ class Index:
         seen = np.zeros(n, bool)
         seen[entries] = True
         dist = np.maximum(2 - 2 * self.centroids[entries] @ query, 0)
-        best = sorted(zip(dist.tolist(), entries.tolist()))[:width]
-        open_ = list(best)
+        open_ = list(zip(dist.tolist(), entries.tolist()))
+        heapq.heapify(open_)
+        best = [(-d, -at) for d, at in heapq.nsmallest(width, open_)]
+        heapq.heapify(best)  # the farthest of the nearest comes first
         while open_:
-            d, at = open_.pop(0)
-            if len(best) >= width and d > best[-1][0]:
+            d, at = heapq.heappop(open_)
+            if len(best) >= width and d > -best[0][0]:
                 break
             new = self.graph[at][~seen[self.graph[at]]]
             if not len(new):
                 continue
+            new = np.unique(new)
             seen[new] = True
             dist = np.maximum(2 - 2 * self.centroids[new] @ query, 0)
-            found = [x for x in zip(dist.tolist(), new.tolist()) if len(best) < width or x[0] < best[-1][0]]
-            best = sorted(best + found)[:width]
-            open_ = sorted(open_ + found)[: 2 * width]
-        return best
+            for x in zip(dist.tolist(), new.tolist()):
+                if len(best) < width:
+                    heapq.heappush(best, (-x[0], -x[1]))
+                elif x[0] < -best[0][0]:
+                    heapq.heapreplace(best, (-x[0], -x[1]))
+                else:
+                    continue
+                heapq.heappush(open_, x)
+        return sorted((-d, -at) for d, at in best)
+
+    def lists_of(self, x: np.ndarray, replicas: int, replica_ratio: float) -> list[list[int]]:
+        """The lists each row is put into, the nearest centroid's first."""
+        at, dist = self.nearest(x, 4 * replicas)
+        out = []
+        for near, far in zip(at, dist):
+            chosen: list[int] = []
+            for c, d in zip(near, far):
+                if len(chosen) == replicas or d > replica_ratio**2 * max(far[0], 1e-12):
+                    break
+                if all(2 - 2 * float(self.centroids[c] @ self.centroids[o]) > 0.5 * d for o in chosen):
+                    chosen.append(int(c))
+            out.append(chosen)
+        return out
 
     def enough(self, query: np.ndarray, width: int, held: np.ndarray, least: int) -> list[int]:
         """The nearest `width` lists, or more until they hold `least` vectors or are all."""
@@ -128,7 +153,45 @@ def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
     return rows.where(F.size("v") == (sizes.n if sizes else 0))
 
 
-def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", every=50, k=5, sample=32_768, rows_per_list=64, max_lists=4096, replicas=4, replica_ratio=1.25, probes=144, list_rows=4096) -> DataFrame:
+def nearest_of_some(cand: DataFrame, ids: np.ndarray, asked: np.ndarray, k: int) -> DataFrame:
+    """q, v: the exact k nearest candidates of a few vectors, each batch of candidates sending on its best."""
+    shared = cand.sparkSession.sparkContext.broadcast((ids, _unit(asked)))
+    kind = cand.schema["v"].dataType.simpleString()
+
+    def compared(batches):
+        own, unit = shared.value
+        kept: list = [[] for _ in own]
+        for b in batches:
+            x = _unit(_matrix(b.column("v")))
+            at = b.column("id").to_numpy()
+            for start in range(0, len(x), 4096):
+                part, name = x[start : start + 4096], at[start : start + 4096]
+                score = np.where(name[None, :] == own[:, None], -9.0, unit @ part.T)
+                take = np.argpartition(-score, k - 1, axis=1)[:, :k] if k < len(part) else np.broadcast_to(np.arange(len(part)), score.shape)
+                for q, row in enumerate(take):
+                    new = [(-float(score[q, j]), int(name[j]), part[j]) for j in row if score[q, j] > -9]
+                    kept[q] = sorted(kept[q] + new, key=lambda r: r[:2])[:k]
+        flat = [(q, -d, i, v.tolist()) for q, rows in enumerate(kept) for d, i, v in rows]
+        cols = list(zip(*flat)) or [(), (), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.list_(pa.float64()))], ["q", "score", "id", "v"])
+
+    found = cand.select("id", "v").mapInArrow(compared, "q int, score double, id long, v array<double>")
+    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))
+    return found.withColumn("r", place).where(F.col("r") <= k).select("q", "v")
+
+
+def tuned_probes(index: Index, asked: np.ndarray, q: np.ndarray, neighbours: np.ndarray, replicas: int, replica_ratio: float, probes: int, recall: float) -> int:
+    """The width of walk, from `probes` on, whose lists hold `recall` of the neighbours of the asking vectors, or all lists."""
+    width, unit, held = probes, _unit(asked), index.lists_of(neighbours, replicas, replica_ratio) if len(neighbours) else []
+    while width < len(index.centroids):
+        found = [{c for _, c in index.walk(x, width)} for x in unit]
+        if sum(not found[i].isdisjoint(lists) for i, lists in zip(q, held)) >= recall * len(held):
+            return width
+        width = math.ceil(1.25 * width)
+    return len(index.centroids)
+
+
+def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", every=50, k=5, sample=32_768, rows_per_list=64, max_lists=4096, replicas=4, replica_ratio=1.25, probes=144, recall=0.95, tuning=128, list_rows=4096) -> DataFrame:
     """query_id, rank, id, score: the k nearest found of each row whose id is divisible by `every`."""
     spark = vectors.sparkSession
     rows = valid_vectors(vectors, id_col, vector_col)
@@ -137,13 +200,18 @@ def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", every=50
     first = Window.partitionBy("k1", "k2").orderBy("id")
     cand = written(rows.groupBy("id").agg(F.min(F.struct("v", "k1", "k2")).alias("s")).select("id", "s.*").withColumn("place", F.row_number().over(first)).where(F.col("place") <= k + 1), "candidates")
     asking = rows.where(F.col("id") % every == 0).select("k1", "k2").distinct()
-    queries = cand.where("place = 1").join(asking, ["k1", "k2"], "left_semi").select("k1", "k2", "v")
+    queries = cand.where("place = 1").join(asking, ["k1", "k2"], "left_semi").select("id", "k1", "k2", "v")
     total = cand.count()
     some = cand.where("place = 1").orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toArrow()
     if not total:
         return spark.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
     index = build_index(_matrix(some["v"]), min(max_lists, math.ceil(total / rows_per_list)))
     shared = spark.sparkContext.broadcast((index.centroids, index.graph))  # at most max_lists centroids
+    few = queries.orderBy(F.xxhash64("id", F.lit(2)), "id").limit(tuning).select("id", "v").toArrow()
+    if len(few) and len(index.centroids) > probes:
+        asked_few = _matrix(few["v"])
+        true = nearest_of_some(cand, few["id"].to_numpy(), asked_few, k).toArrow()  # at most tuning * k rows
+        probes = tuned_probes(index, asked_few, true["q"].to_numpy(), _matrix(true["v"]), replicas, replica_ratio, probes, recall)
     kind = f"array<{vectors.schema[vector_col].dataType.elementType.simpleString()}>"
 
     def placed(batches):
@@ -152,15 +220,8 @@ def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", every=50
             x = _unit(_matrix(b.column("v")))
             for start in range(0, len(x), 2048):
                 part = x[start : start + 2048]
-                at, dist = index.nearest(part, 4 * replicas)
                 which, lists, first = [], [], []
-                for i in range(len(part)):
-                    chosen: list[int] = []
-                    for c, d in zip(at[i], dist[i]):
-                        if len(chosen) == replicas or d > replica_ratio**2 * max(dist[i][0], 1e-12):
-                            break
-                        if all(2 - 2 * float(index.centroids[c] @ index.centroids[o]) > 0.5 * d for o in chosen):
-                            chosen.append(int(c))
+                for i, chosen in enumerate(index.lists_of(part, replicas, replica_ratio)):
                     which += [start + i] * len(chosen)
                     lists += chosen
                     first += [1] + [0] * (len(chosen) - 1)
@@ -184,7 +245,7 @@ def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", every=50
     held = spark.sparkContext.broadcast(sizes)
     parts = parts.select("list", "parts")
     posts = posts.join(F.broadcast(parts), "list").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))  # at most max_lists rows
-    asked = queries.mapInArrow(routed, f"list int, k1 long, k2 long, v {kind}").join(F.broadcast(parts), "list")
+    asked = queries.select("k1", "k2", "v").mapInArrow(routed, f"list int, k1 long, k2 long, v {kind}").join(F.broadcast(parts), "list")
     asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
     def compared(left: pa.Table, right: pa.Table) -> pa.Table:

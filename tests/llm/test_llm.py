@@ -404,6 +404,23 @@ def test_ann_recall(spark):
     assert hits / total >= 0.9
 
 
+def test_ann_recall_with_many_lists(spark):
+    """About 4,000 lists, as on a large table: the probes follow from the index."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(20_000, 64)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.search(df, every=100, rows_per_list=5).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    x = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    hits = 0
+    for i in range(0, len(x), 100):
+        s = x @ x[i]
+        s[i] = -9
+        hits += len(set(np.argsort(-s, kind="stable")[:5].tolist()) & got[i])
+    assert hits / 1000 >= 0.9
+
+
 def test_ann_isolated_queries_get_k_answers(spark):
     """Every vector is a centroid of its own, so the nearest list of a query holds the query alone."""
     rng = np.random.default_rng(2)
