@@ -4,10 +4,11 @@ P(severity > k) = sigmoid(w . x - theta_k), k = 0 .. K-2, with one weight vector
 ordered thresholds theta_0 < theta_1 < ...; the score is the expected severity, sum_k P(severity > k).
 
 x is sparse: log(1 + count) of the words and word beginnings (four code points) whose document frequency differs between graded and
-ungraded training rows by more than `min_z` standard errors.  Training reads a bounded sample
+ungraded training rows: all those that a false-discovery rate of `fdr` lets through (Benjamini and Hochberg), in five
+training rows at least; `min_z`, where given, is a fixed number of standard errors instead.  Training reads a bounded sample
 (`sample_per_side` rows on each side of the first threshold, the first in order of a hash of the id);
 scoring reads every whole text once, without a shuffle, and ships only the word weights, whose number
-is bounded by `max_features`.
+is bounded by the words of the sample.
 
 Null text: empty.  Empty text: no features, the score of the thresholds alone.  Null grades are not
 learned from; several grades of one id: the highest.  Repeated rows: scored alike, one row each.
@@ -95,13 +96,24 @@ def _sample(documents: DataFrame, grades: DataFrame, id_col: str, text_col: str,
     return [(r.grade, dict(zip((x := bytes(r.terms).split())[::2], map(int, x[1::2])))) for r in rows]
 
 
-def graded(rows: list[tuple[int, dict]], min_z: float) -> list[tuple[int, dict]]:
+def _z_bound(z: dict[bytes, float], min_z: float | None, fdr: float) -> float:
+    """The least |z| that is kept: `min_z`, or where at most a share `fdr` of the kept features is expected by chance."""
+    if min_z is not None:
+        return min_z
+    far = sorted(map(abs, z.values()), reverse=True)
+    passed = [x for i, x in enumerate(far, 1) if math.erfc(x / math.sqrt(2)) <= fdr * i / len(far)]
+    return math.nextafter(passed[-1], 0) if passed else math.inf
+
+
+def graded(rows: list[tuple[int, dict]], min_z: float | None = None, fdr: float = 0.01) -> list[tuple[int, dict]]:
     """Split a lone positive grade in two, where labels are binary.
 
     Grade 2 goes to positive rows that have more occurrences of marker features (over-represented in
     positive rows) than the median positive row; the others keep grade 1.
     """
-    markers = {w for w, z in _z_scores(rows).items() if z > min_z}
+    scores = _z_scores(rows)
+    bound = _z_bound(scores, min_z, fdr)
+    markers = {w for w, z in scores.items() if z > bound}
     rate = lambda x: sum(n for w, n in x.items() if w in markers)
     rates = [rate(x) for g, x in rows if g > 0]
     middle = float(np.median(rates)) if rates else 0.0
@@ -116,25 +128,24 @@ def _z_scores(rows: list[tuple[int, dict]]) -> dict[bytes, float]:
     out = {}
     for w in seen[0].keys() | seen[1].keys():
         a, b = seen[0][w], seen[1][w]
-        if a + b >= max(5, 0.002 * sum(n)):
+        if a + b >= 5:
             p = (a + b + 1) / (n[0] + n[1] + 2)
             out[w] = (b / n[1] - a / n[0]) / math.sqrt(p * (1 - p) * (1 / n[0] + 1 / n[1]))
     return out
 
 
-def fit_severity(rows: list[tuple[int, dict]], min_z: float = 8.0, max_features: int = 256, ridge: float = 1e-5, steps: int = 800) -> SeverityModel:
+def fit_severity(rows: list[tuple[int, dict]], min_z: float | None = None, fdr: float = 0.01, ridge: float = 1e-5, steps: int = 800) -> SeverityModel:
     """Maximum likelihood of the ordinal model, with a ridge on the weights, by Adam."""
     top = max((g for g, _ in rows), default=0)
     if top < 1 or all(g > 0 for g, _ in rows):
         return SeverityModel({}, ())
     z = _z_scores(rows)
-    words = sorted((w for w in z if abs(z[w]) > min_z), key=lambda w: (-abs(z[w]), w))[:max_features]
+    bound = _z_bound(z, min_z, fdr)
+    words = sorted((w for w in z if abs(z[w]) > bound), key=lambda w: (-abs(z[w]), w))
     at = {w: i for i, w in enumerate(words)}
-    x = np.zeros((len(rows), len(words)))
-    for i, (_, counts) in enumerate(rows):
-        for w, n in counts.items():
-            if w in at:
-                x[i, at[w]] = math.log1p(n)
+    cells = [(i, at[w], math.log1p(n)) for i, (_, counts) in enumerate(rows) for w, n in counts.items() if w in at]
+    row, col, x = map(np.array, zip(*cells)) if cells else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+    dot = lambda w: np.bincount(row, x * w[col], len(rows))
     y = np.maximum([g for g, _ in rows], 0)
     above = (y[:, None] > np.arange(top)[None, :]).astype(float)
     # Each of the nested binary decisions adds its likelihood; thresholds keep their order by positive steps.
@@ -144,17 +155,17 @@ def fit_severity(rows: list[tuple[int, dict]], min_z: float = 8.0, max_features:
     for step in range(1, steps + 1):
         w, raw = params[: len(words)], params[len(words) :]
         theta = raw[0] + np.r_[0.0, np.cumsum(np.exp(raw[1:]))]
-        p = 1 / (1 + np.exp(-np.clip((x @ w)[:, None] - theta[None, :], -60, 60)))
+        p = 1 / (1 + np.exp(-np.clip(dot(w)[:, None] - theta[None, :], -60, 60)))
         d = (p - above) / len(rows)
         g_theta = -d.sum(0)
         g_raw = np.r_[g_theta.sum(), np.cumsum(g_theta[::-1])[::-1][1:] * np.exp(raw[1:])]
-        grad = np.r_[x.T @ d.sum(1) + ridge * w, g_raw]
+        grad = np.r_[np.bincount(col, x * d.sum(1)[row], len(words)) + ridge * w, g_raw]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         params -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
     w, raw = params[: len(words)], params[len(words) :]
     theta = raw[0] + np.r_[0.0, np.cumsum(np.exp(raw[1:]))]
     # A row counts as toxic from the probability that parts the training rows best, one half at most.
-    p = 1 / (1 + np.exp(-np.clip(x @ w - theta[0], -60, 60)))
+    p = 1 / (1 + np.exp(-np.clip(dot(w) - theta[0], -60, 60)))
     marks = np.r_[np.unique(p[y > 0]), 0.5]
     gain = [(p[y > 0] >= t).mean() - (p[y == 0] >= t).mean() for t in marks]
     best = marks[int(np.argmax(gain))]
@@ -163,11 +174,11 @@ def fit_severity(rows: list[tuple[int, dict]], min_z: float = 8.0, max_features:
     return SeverityModel({k: float(x) for k, x in zip(words, w)}, tuple(map(float, theta)), float(flag_at))
 
 
-def severity_model(documents: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", grade_col="toxic", sample_per_side=3000, min_z=8.0, binary_grades=True, max_features=256) -> SeverityModel:
+def severity_model(documents: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", grade_col="toxic", sample_per_side=3000, min_z=None, binary_grades=True, fdr=0.01) -> SeverityModel:
     grades = labels.select(F.col(id_col).alias("id"), F.col(grade_col).cast("long").alias("grade"))
     rows = _sample(documents, grades, id_col, text_col, sample_per_side)
     rows.sort(key=lambda r: (r[0], sorted(r[1].items())[:50]))
-    return fit_severity(graded(rows, min_z) if binary_grades else rows, min_z, max_features)
+    return fit_severity(graded(rows, min_z, fdr) if binary_grades else rows, min_z, fdr)
 
 
 def score_severity(documents: DataFrame, model: SeverityModel, id_col="doc_id", text_col="text") -> DataFrame:

@@ -64,6 +64,21 @@ def test_severity_learns_ordered_grades():
     assert toxicity.fit_severity([(0, Counter())]).score(b"x") == (0.0, 0.0)
 
 
+@pytest.mark.parametrize("per_side, markers, each", [(30, 1, 2), (1500, 200, 4)])
+def test_toxicity_finds_rare_markers(per_side, markers, each):
+    """Held-out rows by the production values: few rows, and a long tail of markers of which each row has a few."""
+    rng = random.Random(5)
+    bad = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}z{i}" for i in range(markers)]
+    some = lambda g, n: [(g, toxicity.feature_counts(" ".join([f"w{rng.randrange(3000)}" for _ in range(60)] + rng.choices(bad, k=each * g)).encode())) for _ in range(n)]
+    model = toxicity.fit_severity(toxicity.graded(some(0, per_side) + some(1, per_side)))
+
+    def flagged(rows):
+        texts = [b" ".join(w for w in x for _ in range(x[w]) if not w.startswith(b"^")) for _, x in rows]
+        return sum(model.score(t)[1] >= model.flag_at for t in texts) / len(texts)
+
+    assert model.weights and flagged(some(1, 300)) > 0.9 and flagged(some(0, 300)) < 0.1
+
+
 def test_toxicity_on_documents(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = queries.read(spark, sf, "documents"), queries.read(spark, sf, "labels")
