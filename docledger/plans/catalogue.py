@@ -167,6 +167,20 @@ def q_entity_extract(spark, sf_dir):
     return extract.entities(pages).groupBy("entity_type", "normalized_value", "label").agg(count().alias("n"))
 
 
+@query(f"""with o as (select * from {ORDERS}),
+  e as (select k, 'importe' as entity_type, cast(amount as varchar) as normalized_value, case k % 4 when 0 then 'neto del recibo' when 2 then 'importe total' else 'importe mencionado' end as label from o
+    union all select k, 'importe', cast(amount * 2 as varchar), 'total' from o where k % 4 = 3
+    union all select k, 'fecha', cast(d as varchar), 'fecha numérica' from o
+    union all select k, 'folio_referencia', case k % 4 when 0 then 'ABCDEF01-2345-4678-9ABC-' || lpad(cast(k as varchar), 12, '0') when 2 then 'L-' || lpad(cast(k as varchar), 8, '0') else 'P-' || lpad(cast(k as varchar), 8, '0') end, 'folio o referencia' from o where k % 4 <> 1
+    union all select k, 'uuid', 'ABCDEF01-2345-4678-9ABC-' || lpad(cast(k as varchar), 12, '0'), 'UUID fiscal' from o where k % 4 = 0
+    union all select k, 'cuenta', '0123456789', 'cuenta etiquetada' from o where k % 4 = 2)
+  select entity_type, normalized_value, label, count(*) as n from e group by 1, 2, 3""")
+def q_entity_extract_all(spark, sf_dir):
+    """Entities of all four kinds of rendered papers; a policy has an amount on two lines and their total."""
+    pages = fx.vouchers(spark, sf_dir).withColumn("document_id", F.col("k").cast("string")).drop("month_number", "year", "k", "amount", "day")
+    return extract.entities(pages).groupBy("entity_type", "normalized_value", "label").agg(count().alias("n"))
+
+
 @query(f"select k, sha256('orden|D' || c || '|' || k) as record_key, substr(sha256('P' || k || '|C' || k || '|r'), 1, 24) as link_id, 'TR-' || upper(substr(sha256('A' || k || '|B' || k), 1, 16)) as case_id from {ORDERS}")
 def q_record_keys(spark, sf_dir):
     k = F.col("k").cast("string")
