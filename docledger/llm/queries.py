@@ -29,7 +29,8 @@ def op1_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score_corpus(read(spark, sf_dir, "documents"))
+    out = lm.score_corpus(read(spark, sf_dir, "documents"))
+    return out.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})  # sums in any order round alike
 
 
 def op3_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +83,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (op1_toxicity_severity, op2_backoff_automaton, op3_swap_packing, op4_lsh_forest_join, op5_quadratic_quality, op6_weak_supervision, op7_url_cascade, op8_source_mix, op9_posting_lists, op10_chat_format, pipeline)
 }
 
+#: crc32 of the id as text, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce([4294967295] || list_transform(string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)))"""
+
+OP2_SQL = f"""
+with d as (
+  select row_number() over () as r, doc_id, {_CRC32} % 7 = 2 as held_out,
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') || [' '] as ws
+  from documents),
+u as (select r, doc_id, held_out, unnest(ws) as w, generate_subscripts(ws, 1) as k from d),
+t as (select *, coalesce(lag(w) over o, ' ') as a, case when k > 1 then coalesce(lag(w, 2) over o, ' ') end as z from u window o as (partition by r order by k)),
+one as (select w, count(*) as c from t where not held_out group by w),
+two as (select a, w, count(*) as c from t where not held_out group by a, w),
+three as (select z, a, w, count(*) as c from t where not held_out and z is not null group by z, a, w),
+n as (select cast(coalesce(sum(c), 0) as bigint) as n, count(*) as v from one),
+p as (
+  select t.r, t.doc_id, t.held_out, coalesce(one.c, 0) as c1, n.n, (coalesce(one.c, 0) + 1.0::double) / (n.n + n.v + 1) as p1,
+    coalesce(ca.c, 0) as ca, coalesce(two.c, 0) as c2, coalesce(cz.c, 0) as cz, coalesce(three.c, 0) as c3
+  from t cross join n left join one on one.w = t.w left join one ca on ca.w = t.a left join two on two.a = t.a and two.w = t.w
+    left join two cz on cz.a = t.z and cz.w = t.a left join three on three.z = t.z and three.a = t.a and three.w = t.w),
+q as (select *, case when ca > 0 then (c2 + 2000 * p1) / (ca + 2000) else p1 end as p2 from p)
+select doc_id, held_out, count(*) as n_tokens, count(*) filter (c1 > 0) as n_known, any_value(n) as train_tokens,
+  round(sum(log10(p1)), 6) as base_score, round(sum(log10(case when cz > 0 then (c3 + 10 * p2) / (cz + 10) else p2 end)), 6) as score
+from q group by r, doc_id, held_out
+"""
+
 OP4_SQL = """
 with recursive w as (
   select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws
@@ -153,6 +180,7 @@ from b group by conv_id
 """
 
 ORACLES: dict[str, str] = {
+    "op2_backoff_automaton": OP2_SQL,
     "op4_lsh_forest_join": OP4_SQL,
     "op7_url_cascade": OP7_SQL,
     "op8_source_mix": _op8_sql(),

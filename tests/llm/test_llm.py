@@ -144,20 +144,26 @@ def test_rules_keep_good_documents(spark):
 # ---- op2 -------------------------------------------------------------------------------------------------------
 
 
-def brute_lm(rows, strength):
-    """Scores by dictionaries, one token at a time."""
-    toks = [[*lower(t or "").encode().split(), "END"] for _, t in rows]
+def brute_lm(rows, strengths=(2000.0, 10.0)):
+    """Scores by dictionaries, one token at a time, with the production order and strengths."""
+    toks = [["E", *[b"w" + w for w in lower(t or "").encode().split()], "E"] for _, t in rows]
     held = [zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2 for i, _ in rows]
-    c1, c2 = Counter(), Counter()
+    c = [Counter(), Counter(), Counter()]
     for h, ts in zip(held, toks):
+        for m in range(1, 4 if not h else 0):
+            c[m - 1].update(tuple(ts[e - m + 1 : e + 1]) for e in range(max(1, m - 1), len(ts)))
+    n, v, out = sum(c[0].values()), len(c[0]), []
+
+    def p(h, w):
         if not h:
-            c1.update(ts)
-            c2.update(zip(["END", *ts], ts))
-    n, v, out = sum(c1.values()), len(c1), []
+            return (c[0][(w,)] + 1) / (n + v + 1)
+        s, before = strengths[len(h) - 1], c[len(h) - 1][h]
+        return (c[len(h)][(*h, w)] + s * p(h[1:], w)) / (before + s) if before else p(h[1:], w)
+
     for (i, _), h, ts in zip(rows, held, toks):
-        p1 = [(c1[t] + 1) / (n + v + 1) for t in ts]
-        p2 = [(c2[a, b] + strength * p) / (c1[a] + strength) if c1[a] else p for a, b, p in zip(["END", *ts], ts, p1)]
-        out.append((i, h, len(ts), sum(c1[t] > 0 for t in ts), n, sum(map(math.log10, p1)), sum(map(math.log10, p2))))
+        base = sum(math.log10(p((), w)) for w in ts[1:])
+        score = sum(math.log10(p(tuple(ts[max(0, k - 2) : k]), ts[k])) for k in range(1, len(ts)))
+        out.append((i, h, len(ts) - 1, sum(c[0][(w,)] > 0 for w in ts[1:]), n, base, score))
     return out
 
 
@@ -165,25 +171,67 @@ def test_lm_is_the_dictionary_model(spark, docs, edge):
     for df in (docs, edge):
         rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
         key = lambda r: (r[0] is None, r[0] or 0, r[2], round(r[6], 6))
-        for size in (10**9, 20_000):
-            got = sorted((tuple(r) for r in lm.score_corpus(df, bundle_chars=size, strength=50.0).collect()), key=key)
-            want = sorted(brute_lm(rows, 50.0), key=key)
+        want = sorted(brute_lm(rows), key=key)
+        for size in (12 << 20, 20_000):
+            got = sorted((tuple(r) for r in lm.score_corpus(df, bundle_chars=size).collect()), key=key)
             assert [g[:5] for g in got] == [w[:5] for w in want]
             assert np.allclose([g[5:] for g in got], [w[5:] for w in want])
     assert lm.score_corpus(docs.limit(0)).count() == 0
 
 
-def test_lm_mass_and_gain(spark, docs):
-    """The model's probabilities of all next tokens sum to one, and held-out texts gain on the base."""
-    strength, rows = 50.0, [(r.doc_id, r.text) for r in docs.limit(30).collect()]
-    toks = [[*lower(t or "").encode().split(), "END"] for _, t in rows]
-    c1, c2 = Counter(x for ts in toks for x in ts), Counter(x for ts in toks for x in zip(["END", *ts], ts))
-    n, v = sum(c1.values()), len(c1)
-    for a in list(c1)[:5]:
-        mass = sum((c2[a, b] + strength * (c1[b] + 1) / (n + v + 1)) / (c1[a] + strength) for b in c1) + strength / (n + v + 1) / (c1[a] + strength)
-        assert abs(mass - 1) < 1e-9
-    out = lm.score_corpus(docs).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
-    assert out.s > out.b
+def machine_of(texts, order=3, strengths=(2000.0, 10.0)):
+    g = lm.grams([t.encode() for t in texts], lm.WordHashes(), order)
+    counts = lm._own_counts(g, np.ones(len(texts), bool))
+    each = np.split(counts, np.cumsum([len(k) for k in g.keys])[:-1])
+    return g, lm.Automaton.build(g, each, int(each[0].sum()), int((each[0] > 0).sum()), strengths)
+
+
+def test_lm_failure_arcs_and_mass(docs):
+    """Every failure arc leads to a shorter context; in every state the probabilities of all next tokens sum to one."""
+    texts = [r.text or "" for r in docs.limit(25).collect()]
+    g, machine = machine_of(texts)
+    v = machine.tokens
+    length = np.r_[0, np.full(v, 1), np.full(len(machine.fail) - 1 - v, 2)]
+    assert (length[machine.fail[1:]] < length[1:]).all() and (length[machine.fail[1 + v :]] == 1).all()
+    assert set(length[machine.target]) == {2}
+    rng = np.random.default_rng(0)
+    for state in [0, *rng.choice(np.unique(machine.arc // v), 40)]:
+        gained, _ = machine.step(np.full(v, state), np.arange(v))
+        fails, s = 0.0, state
+        while s:
+            fails, s = fails + machine.fail_weight[s], machine.fail[s]
+        unknown = 1 / (int(g.sizes.sum()) + v + 1)  # the class of all other tokens
+        assert abs((10**gained).sum() + 10**fails * unknown - 1) < 1e-9
+
+
+def test_lm_stretches_carry_the_state():
+    """However a text is cut into stretches, the walk is the same; an unseen token leads back to the empty context."""
+    texts = ["a b c a b c a b d " * 40, "a b", "", "c c c c"]
+    g, machine = machine_of(texts)
+    whole = machine.walk(g, 3, 10**6)
+    for stretch in (1, 2, 3, 7, 256):
+        assert np.allclose(machine.walk(g, 3, stretch), whole)
+    for order, strengths in ((1, ()), (2, (5.0,)), (4, (9.0, 3.0, 1.0))):
+        g, machine = machine_of(texts, order, strengths)
+        assert np.allclose(machine.walk(g, order, 2), machine.walk(g, order, 10**6))
+
+
+def test_lm_tells_texts_that_occur_twice(spark):
+    """Per token, texts that training has twice score above nine tenths of the texts that it has once."""
+    rng = random.Random(8)
+    made = lambda: " ".join(f"w{int(rng.paretovariate(0.7)) % 4000}" for _ in range(120))
+    once, twice = [made() for _ in range(200)], [made() for _ in range(30)]
+    rows = [(i, t) for i, t in enumerate(once + twice + twice) if zlib.crc32(str(i).encode()) % 7 != 2]
+    texts = Counter(t for _, t in rows)
+    out = lm.score_corpus(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    of = dict(rows)
+    rate = {k: [r.score / r.n_tokens for r in out if texts[of[r.doc_id]] == k] for k in (1, 2)}
+    assert np.mean(np.array(rate[2]) > np.quantile(rate[1], 0.9)) > 0.9
+
+
+def test_lm_gains_on_held_out(spark):
+    out = lm.score_corpus(queries.read(spark, "/root/testdata/sf0.01", "documents")).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
+    assert out.s > 0.95 * out.b
 
 
 # ---- op3 -------------------------------------------------------------------------------------------------------
