@@ -15,13 +15,13 @@ All lanes of a bundle walk at once.  A long text is walked in stretches of `STRE
 reads the order - 1 tokens before it from the empty state, which leads to the very state the whole walk has
 there, as a state never knows more than that many tokens.
 
-Scale: the automaton is never gathered in one place.  Each task packs its texts, in the order they come, into
-bundles of about `bundle_chars` bytes, written once to the shared folder (equal rows and ids are nothing special).
+Scale: the automaton is never gathered in one place.  Each task tokenises its texts, in the order they come, and packs
+them into bundles of about `bundle_chars` bytes of text, written once to the shared folder (equal rows and ids are nothing special).
 A bundle counts its own n-grams and deals them out by ranges of their hashes; the rest of each n-gram's total
 goes back to the bundles that hold it, in the order they sent it, with the number of training tokens and of
 distinct ones of that range; a bundle then builds the part of the automaton that its texts can reach.  A frequent
 n-gram is one entry a bundle, so no key is hot; nothing is broadcast or collected.  Hashes are as wide as a
-chance of about 2^-20 that an n-gram meets another one needs, for the bytes of the corpus: the width follows from them.
+chance of about 2^-20 that an n-gram meets another one needs: the width follows from the number of tokens.
 The rows dealt grow with the square of the number of bundles, so a corpus of many terabytes wants larger executors
 and larger `bundle_chars`.  A shuffle has at most `max_partitions` partitions, one bundle in memory at a time.
 
@@ -38,26 +38,56 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docledger.llm.shared import WordHashes, fold_of, mixed, text_bytes, written
+from docledger.llm.shared import fold_of, mixed, text_bytes, written
 
 #: Not the hash of any word, as words hold no white space.
 END = np.uint64(0x5DEECE66D1234567)
 #: Tokens that a lane walks.
 STRETCH = 256
-_BUNDLES = "bundle long, chars long, texts long, packed binary"
+_BUNDLES = "bundle long, tokens long, docs binary, hashes binary, words binary"
 _COUNTS = "target int, bundle long, keys binary, counts binary"
 _MORE = "target int, bundle long, more binary, tokens long, distinct long"
 _SCORES = "doc_id {id}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
+def _squeezed(x: np.ndarray) -> bytes:
+    """Numbers as planes of bytes, only as many as the largest needs, which leaves runs of zeros to the compressor."""
+    n = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(np.asarray(x, "<u8").view(np.uint8).reshape(-1, 8)[:, :n].T)
+    return bytes([n]) + zstandard.ZstdCompressor(1).compress(planes.tobytes())
+
+
+def _expanded(b: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8).reshape(b[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : b[0]] = planes.T
+    return out.view("<u8").ravel()
+
+
 # ---- bundles ---------------------------------------------------------------------------------------------------
 
 
+def tokenised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words, the number of each text's words among them in turn, and the texts' word counts."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string(), safe=False)))
+    coded = lists.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    codes = coded.indices.to_numpy().astype(np.int32)
+    text = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+    if b"" in words:  # what Arrow makes of white space at an end
+        empty = words.index(b"")
+        words.pop(empty)
+        text, codes = text[codes != empty], codes[codes != empty]
+        codes -= codes > empty
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)), codes, np.bincount(text, minlength=len(lists))
+
+
 def _halves(table: pa.Table) -> list[pa.Table]:
     size = np.cumsum(pc.binary_length(table["text"]).to_numpy())
     cut = int(np.searchsorted(size, size[-1] / 2)) + 1
@@ -65,15 +95,18 @@ def _halves(table: pa.Table) -> list[pa.Table]:
 
 
 def _bundle_row(table: pa.Table, number: int) -> pa.RecordBatch:
+    hashes, codes, sizes = tokenised(table["text"].combine_chunks())
+    docs = pa.table([table["doc_id"], table["held_out"], pa.array(sizes)], names=["doc_id", "held_out", "words"])
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_table(table)
-    chars = pc.sum(pc.binary_length(table["text"])).as_py() or 0
-    return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([chars], pa.int64()), pa.array([len(table)], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["bundle", "chars", "texts", "packed"])
+    with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(docs)
+    values = [number, len(codes) + len(table), sink.getvalue().to_pybytes(), hashes.tobytes(), _squeezed(codes)]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, kinds)], ["bundle", "tokens", "docs", "hashes", "words"])
 
 
 def bundles(texts: DataFrame, bundle_chars: int) -> DataFrame:
-    """The rows in bundles: bundle, chars, texts, packed (an Arrow stream); one row each."""
+    """The rows in bundles, tokenised once: bundle, tokens, docs (an Arrow stream), hashes, words; one row each."""
 
     def pack(batches):
         number = (TaskContext.get().partitionId() << 32) - 1
@@ -98,15 +131,11 @@ def bundles(texts: DataFrame, bundle_chars: int) -> DataFrame:
         if len(rest) == 2:
             rest = _halves(pa.concat_tables(rest).combine_chunks())
         for table in rest:
-            yield _bundle_row(table, number := number + 1)
+            yield _bundle_row(table.combine_chunks(), number := number + 1)
 
     return written(texts.mapInArrow(pack, _BUNDLES), "bundles")
 
 
-def _unpacked(packed: pa.ChunkedArray) -> pa.Table:
-    return pa.ipc.open_stream(packed[0].as_buffer()).read_all()
-
-
 # ---- n-grams of a bundle ---------------------------------------------------------------------------------------
 
 
@@ -129,46 +158,27 @@ class Grams:
     suffix: list[np.ndarray]
 
 
-def _line(texts: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token hashes of all texts, each with END before and behind; where each starts; their sizes."""
-    parts, sizes = [], []
-    for start in range(0, len(texts), 500):
-        words: list[bytes] = []
-        for text in texts[start : start + 500]:
-            own = text.lower().split()
-            words += own
-            sizes.append(len(own) + 1)
-        parts.append(hashes.of(words))
-    n = np.array(sizes, np.int64)
-    starts = np.cumsum(n + 1) - n - 1
-    line = np.full(int((n + 1).sum()), END)
-    inner = np.ones(len(line), bool)
-    inner[starts] = inner[starts + n] = False
-    if parts:
-        line[inner] = np.concatenate(parts)
-    return line, starts, n
-
-
-def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    coded = pa.array(values).dictionary_encode()
-    return coded.dictionary.to_numpy(), coded.indices.to_numpy()
-
-
-def grams(texts: list[bytes], hashes: WordHashes, order: int) -> Grams:
-    line, starts, sizes = _line(texts, hashes)
-    distinct, word = _coded(line)
+def grams(hashes: np.ndarray, codes: np.ndarray, words: np.ndarray, order: int) -> Grams:
+    """From the distinct words' hashes, the word numbers of the texts in turn, and the texts' word counts."""
+    sizes = words.astype(np.int64) + 1
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    word = np.full(int((sizes + 1).sum()), len(hashes), np.int32)
+    inner = np.ones(len(word), bool)
+    inner[starts] = inner[starts + sizes] = False
+    word[inner] = codes
     at = word.copy()
     at[starts] = -1
-    none = np.zeros(0, np.int32)
+    none, v = np.zeros(0, np.int32), len(hashes) + 1
+    distinct = np.r_[hashes, END]
     out = Grams(starts, sizes, word, [at], [distinct], [none], [none], [none])
     for m in range(1, order):
-        before = np.full(len(line), -1, np.int32)
+        before = np.full(len(word), -1, np.int32)
         before[1:] = word[:-1] if m == 1 else out.at[m - 1][:-1]
         before[starts] = -1
         there = np.flatnonzero(before >= 0)
-        codes, which = _coded(before[there].astype(np.int64) * len(distinct) + word[there])
-        context, last = codes // max(1, len(distinct)), codes % max(1, len(distinct))
-        at = np.full(len(line), -1, np.int32)
+        codes, which = np.unique(before[there].astype(np.int64) * v + word[there], return_inverse=True)
+        context, last = codes // v, codes % v
+        at = np.full(len(word), -1, np.int32)
         at[there] = which
         suffix = np.zeros(len(codes), np.int32)
         suffix[which] = out.at[m - 1][there]
@@ -180,6 +190,14 @@ def grams(texts: list[bytes], hashes: WordHashes, order: int) -> Grams:
     return out
 
 
+def _grams_of(row: pa.Table | pa.RecordBatch, order: int) -> tuple[pa.Table, Grams]:
+    """The documents of a bundle's only row, and their n-grams."""
+    docs, hashes, words = (row[c].combine_chunks() if isinstance(row[c], pa.ChunkedArray) else row[c] for c in ("docs", "hashes", "words"))
+    docs = pa.ipc.open_stream(docs[0].as_buffer()).read_all()
+    codes = _expanded(words[0].as_py()).astype(np.int32)
+    return docs, grams(np.frombuffer(hashes[0].as_buffer(), np.uint64), codes, docs["words"].to_numpy(), order)
+
+
 def _own_counts(g: Grams, train: np.ndarray) -> np.ndarray:
     """Training counts in this bundle of all its n-grams, order after order (0: held-out texts only)."""
     counted = np.repeat(train, g.sizes + 1)
@@ -197,9 +215,8 @@ class Deal:
     targets: int
 
     @classmethod
-    def of(cls, chars: int, texts: int, order: int, targets: int) -> Deal:
-        most = order * (chars // 2 + texts) + 2  # n-grams
-        return cls(min(64, most.bit_length() + 21), targets)
+    def of(cls, tokens: int, order: int, targets: int) -> Deal:
+        return cls(min(64, (order * tokens + 1).bit_length() + 21), targets)
 
     def sorted(self, g: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The n-grams' hashes in order, the numbers of those n-grams, and where each target's range begins."""
@@ -215,20 +232,6 @@ class Deal:
         return target * 2**self.width // self.targets
 
 
-def _squeezed(x: np.ndarray) -> bytes:
-    """Numbers as planes of bytes, only as many as the largest needs, which leaves runs of zeros to the compressor."""
-    n = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
-    planes = np.ascontiguousarray(np.asarray(x, "<u8").view(np.uint8).reshape(-1, 8)[:, :n].T)
-    return bytes([n]) + zstandard.ZstdCompressor(1).compress(planes.tobytes())
-
-
-def _expanded(b: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8).reshape(b[0], -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, : b[0]] = planes.T
-    return out.view("<u8").ravel()
-
-
 # ---- the automaton -------------------------------------------------------------------------------------------------
 
 
@@ -264,10 +267,7 @@ class Automaton:
             fail_weights.append(np.log10(s / (held + s)))
             p = (counts[m] + s * p[g.suffix[m]]) / (held[g.context[m]] + s)
             seen = np.flatnonzero(counts[m] > 0)
-            arc = (first[m - 1] + g.context[m][seen]) * v + g.last[m][seen]
-            order_ = np.argsort(arc)
-            seen = seen[order_]
-            arcs.append(arc[order_])
+            arcs.append((first[m - 1] + g.context[m][seen]) * v + g.last[m][seen])  # in order, as n-grams are numbered so
             weights.append(np.log10(p[seen]))
             targets.append(first[m] + seen if m + 1 < order else first[m - 1] + g.suffix[m][seen])
         none = [np.zeros(0, np.int64)]
@@ -320,16 +320,15 @@ def score_corpus(documents: DataFrame, id_col="doc_id", text_col="text", folds=7
     """id, held_out, n_tokens, n_known, train_tokens, base_score, score; a row for each row."""
     texts = documents.select(F.col(id_col).alias("doc_id"), (fold_of(id_col, folds) == held_out_fold).alias("held_out"), text_bytes(text_col).alias("text"))
     packed = bundles(texts, bundle_chars)
-    sums = packed.agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("texts").alias("texts")).first()
+    sums = packed.agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("tokens")).first()
     n_bundles = max(1, sums.n)
     n_parts = min(4 * n_bundles, max_partitions)
-    deal = Deal.of(sums.chars or 0, sums.texts or 0, order, n_bundles)
+    deal = Deal.of(sums.tokens or 0, order, n_bundles)
 
     def count(batches):
         for b in batches:
             for row in range(b.num_rows):
-                docs = _unpacked(b.column("packed").slice(row, 1))
-                g = grams(docs["text"].to_pylist(), WordHashes(), order)
+                docs, g = _grams_of(b.slice(row, 1), order)
                 counts = _own_counts(g, ~docs["held_out"].to_numpy().astype(bool))
                 keys, numbers, edges = deal.sorted(g)
                 counts = counts[numbers]
@@ -344,7 +343,7 @@ def score_corpus(documents: DataFrame, id_col="doc_id", text_col="text", folds=7
         target = table["target"][0].as_py()
         keys = [np.cumsum(np.r_[np.uint64(deal.begin(target)), _expanded(k)], dtype=np.uint64)[1:] for k in table["keys"].to_pylist()]
         counts = [_expanded(c).astype(np.int64) for c in table["counts"].to_pylist()]
-        distinct, at = _coded(np.concatenate(keys))
+        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
         sums = np.bincount(at, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.int64)
         token = (distinct & np.uint64(1) == 1) & (sums > 0)
         more, start = [], 0
@@ -355,9 +354,8 @@ def score_corpus(documents: DataFrame, id_col="doc_id", text_col="text", folds=7
         return pa.table({"target": pa.array([target] * n, pa.int32()), "bundle": table["bundle"], "more": pa.array(more, pa.binary()), "tokens": pa.array([int(sums[token].sum())] * n, pa.int64()), "distinct": pa.array([int(token.sum())] * n, pa.int64())})
 
     def run(own: pa.Table, back: pa.Table) -> pa.Table:
-        docs = _unpacked(own["packed"])
+        docs, g = _grams_of(own, order)
         held = docs["held_out"].to_numpy().astype(bool)
-        g = grams(docs["text"].to_pylist(), WordHashes(), order)
         counts = _own_counts(g, ~held)
         _, numbers, edges = deal.sorted(g)
         for target, more in zip(back["target"].to_pylist(), back["more"].to_pylist()):
@@ -373,9 +371,9 @@ def score_corpus(documents: DataFrame, id_col="doc_id", text_col="text", folds=7
         base = np.bincount(text, weights=machine.root_weight[word], minlength=len(held))
         return pa.table([docs["doc_id"], docs["held_out"], pa.array(g.sizes), pa.array(known), pa.array([tokens] * len(held), pa.int64()), pa.array(base), pa.array(score)], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    counted = packed.select("bundle", "packed").mapInArrow(count, _COUNTS)
+    counted = packed.mapInArrow(count, _COUNTS)
     totals = counted.repartition(n_parts, "target").groupBy("target").applyInArrow(total, _MORE)
     kind = texts.schema["doc_id"].dataType.simpleString()
-    own = packed.select("bundle", "packed").repartition(n_parts, "bundle")
+    own = packed.repartition(n_parts, "bundle")
     scored = own.groupBy("bundle").cogroup(totals.groupBy("bundle")).applyInArrow(run, _SCORES.format(id=kind))
     return scored.withColumnRenamed("doc_id", id_col)

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,7 +181,7 @@ def test_lm_is_the_dictionary_model(spark, docs, edge):
 
 
 def machine_of(texts, order=3, strengths=(2000.0, 10.0)):
-    g = lm.grams([t.encode() for t in texts], lm.WordHashes(), order)
+    g = lm.grams(*lm.tokenised(pa.array([t.encode() for t in texts])), order)
     counts = lm._own_counts(g, np.ones(len(texts), bool))
     each = np.split(counts, np.cumsum([len(k) for k in g.keys])[:-1])
     return g, lm.Automaton.build(g, each, int(each[0].sum()), int((each[0] > 0).sum()), strengths)
@@ -219,7 +220,7 @@ def test_lm_stretches_carry_the_state():
 def test_lm_tells_texts_that_occur_twice(spark):
     """Per token, texts that training has twice score above nine tenths of the texts that it has once."""
     rng = random.Random(8)
-    made = lambda: " ".join(f"w{int(rng.paretovariate(0.7)) % 4000}" for _ in range(120))
+    made = lambda: " ".join(f"w{int(rng.paretovariate(0.4)) % 40_000}" for _ in range(300))
     once, twice = [made() for _ in range(200)], [made() for _ in range(30)]
     rows = [(i, t) for i, t in enumerate(once + twice + twice) if zlib.crc32(str(i).encode()) % 7 != 2]
     texts = Counter(t for _, t in rows)
