@@ -19,7 +19,7 @@ Scale: the automaton is never gathered in one place.  Each task tokenises its te
 them into bundles of about `bundle_chars` bytes of text, written once to the shared folder (equal rows and ids are nothing special).
 A bundle counts its own n-grams and deals them out by ranges of their hashes; the rest of each n-gram's total
 goes back to the bundles that hold it, in the order they sent it, with the number of training tokens and of
-distinct ones of that range; a bundle then builds the part of the automaton that its texts can reach.  A frequent
+distinct ones of that range.  The bundles lie in buckets, so only the totals travel; a bundle then builds the part of the automaton that its texts can reach.  A frequent
 n-gram is one entry a bundle, so no key is hot; nothing is broadcast or collected.  Hashes are as wide as a
 chance of about 2^-20 that an n-gram meets another one needs: the width follows from the number of tokens.
 The rows dealt grow with the square of the number of bundles, so a corpus of many terabytes wants larger executors
@@ -44,13 +44,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docledger.llm.shared import fold_of, mixed, text_bytes, written
+from docledger.llm.shared import fold_of, mixed, text_bytes, written_in_buckets
 
 #: Not the hash of any word, as words hold no white space.
 END = np.uint64(0x5DEECE66D1234567)
 #: Tokens that a lane walks.
 STRETCH = 256
-_BUNDLES = "bundle long, tokens long, docs binary, hashes binary, words binary"
+_BUNDLES = "bundle long, tokens long, docs binary, words binary, codes binary"
 _COUNTS = "target int, bundle long, keys binary, counts binary"
 _MORE = "target int, bundle long, more binary, tokens long, distinct long"
 _SCORES = "doc_id {id}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -73,8 +73,8 @@ def _expanded(b: bytes) -> np.ndarray:
 # ---- bundles ---------------------------------------------------------------------------------------------------
 
 
-def tokenised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the distinct words, the number of each text's words among them in turn, and the texts' word counts."""
+def tokenised(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words, the number of each text's words among them in turn, and the texts' word counts."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string(), safe=False)))
     coded = lists.flatten().dictionary_encode()
     words = coded.dictionary.cast(pa.binary()).to_pylist()
@@ -85,7 +85,7 @@ def tokenised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         words.pop(empty)
         text, codes = text[codes != empty], codes[codes != empty]
         codes -= codes > empty
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)), codes, np.bincount(text, minlength=len(lists))
+    return words, codes, np.bincount(text, minlength=len(lists))
 
 
 def _halves(table: pa.Table) -> list[pa.Table]:
@@ -95,18 +95,18 @@ def _halves(table: pa.Table) -> list[pa.Table]:
 
 
 def _bundle_row(table: pa.Table, number: int) -> pa.RecordBatch:
-    hashes, codes, sizes = tokenised(table["text"].combine_chunks())
+    words, codes, sizes = tokenised(table["text"].combine_chunks())
     docs = pa.table([table["doc_id"], table["held_out"], pa.array(sizes)], names=["doc_id", "held_out", "words"])
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_table(docs)
-    values = [number, len(codes) + len(table), sink.getvalue().to_pybytes(), hashes.tobytes(), _squeezed(codes)]
+    values = [number, len(codes) + len(table), sink.getvalue().to_pybytes(), zstandard.ZstdCompressor(3).compress(b" ".join(words)), _squeezed(codes)]
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, kinds)], ["bundle", "tokens", "docs", "hashes", "words"])
+    return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, kinds)], ["bundle", "tokens", "docs", "words", "codes"])
 
 
-def bundles(texts: DataFrame, bundle_chars: int) -> DataFrame:
-    """The rows in bundles, tokenised once: bundle, tokens, docs (an Arrow stream), hashes, words; one row each."""
+def bundles(texts: DataFrame, bundle_chars: int, buckets: int) -> DataFrame:
+    """The rows in bundles, tokenised once: bundle, tokens, docs (an Arrow stream), words, codes; one row each."""
 
     def pack(batches):
         number = (TaskContext.get().partitionId() << 32) - 1
@@ -133,7 +133,7 @@ def bundles(texts: DataFrame, bundle_chars: int) -> DataFrame:
         for table in rest:
             yield _bundle_row(table.combine_chunks(), number := number + 1)
 
-    return written(texts.mapInArrow(pack, _BUNDLES), "bundles")
+    return written_in_buckets(texts.mapInArrow(pack, _BUNDLES), "bundles", "bundle", buckets)
 
 
 # ---- n-grams of a bundle ---------------------------------------------------------------------------------------
@@ -158,18 +158,18 @@ class Grams:
     suffix: list[np.ndarray]
 
 
-def grams(hashes: np.ndarray, codes: np.ndarray, words: np.ndarray, order: int) -> Grams:
-    """From the distinct words' hashes, the word numbers of the texts in turn, and the texts' word counts."""
-    sizes = words.astype(np.int64) + 1
+def grams(words: list[bytes], codes: np.ndarray, counts: np.ndarray, order: int) -> Grams:
+    """From the distinct words, the word numbers of the texts in turn, and the texts' word counts."""
+    sizes = counts.astype(np.int64) + 1
     starts = np.cumsum(sizes + 1) - sizes - 1
-    word = np.full(int((sizes + 1).sum()), len(hashes), np.int32)
+    word = np.full(int((sizes + 1).sum()), len(words), np.int32)
     inner = np.ones(len(word), bool)
     inner[starts] = inner[starts + sizes] = False
     word[inner] = codes
     at = word.copy()
     at[starts] = -1
-    none, v = np.zeros(0, np.int32), len(hashes) + 1
-    distinct = np.r_[hashes, END]
+    none, v = np.zeros(0, np.int32), len(words) + 1
+    distinct = np.r_[np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)), END]
     out = Grams(starts, sizes, word, [at], [distinct], [none], [none], [none])
     for m in range(1, order):
         before = np.full(len(word), -1, np.int32)
@@ -192,10 +192,10 @@ def grams(hashes: np.ndarray, codes: np.ndarray, words: np.ndarray, order: int)
 
 def _grams_of(row: pa.Table | pa.RecordBatch, order: int) -> tuple[pa.Table, Grams]:
     """The documents of a bundle's only row, and their n-grams."""
-    docs, hashes, words = (row[c].combine_chunks() if isinstance(row[c], pa.ChunkedArray) else row[c] for c in ("docs", "hashes", "words"))
+    docs, words, codes = (row[c].combine_chunks() if isinstance(row[c], pa.ChunkedArray) else row[c] for c in ("docs", "words", "codes"))
     docs = pa.ipc.open_stream(docs[0].as_buffer()).read_all()
-    codes = _expanded(words[0].as_py()).astype(np.int32)
-    return docs, grams(np.frombuffer(hashes[0].as_buffer(), np.uint64), codes, docs["words"].to_numpy(), order)
+    words = zstandard.ZstdDecompressor().decompress(words[0].as_py()).split()
+    return docs, grams(words, _expanded(codes[0].as_py()).astype(np.int32), docs["words"].to_numpy(), order)
 
 
 def _own_counts(g: Grams, train: np.ndarray) -> np.ndarray:
@@ -316,13 +316,14 @@ class Automaton:
 # ---- the corpus ------------------------------------------------------------------------------------------------------
 
 
-def score_corpus(documents: DataFrame, id_col="doc_id", text_col="text", folds=7, held_out_fold=2, order=3, strengths=(2000.0, 10.0), bundle_chars=12 << 20, max_partitions=32_768) -> DataFrame:
+def score_corpus(documents: DataFrame, id_col="doc_id", text_col="text", folds=7, held_out_fold=2, order=3, strengths=(2000.0, 10.0), bundle_chars=8 << 20, max_partitions=32_768) -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score, score; a row for each row."""
     texts = documents.select(F.col(id_col).alias("doc_id"), (fold_of(id_col, folds) == held_out_fold).alias("held_out"), text_bytes(text_col).alias("text"))
-    packed = bundles(texts, bundle_chars)
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    n_parts = min(4 * math.ceil(chars / bundle_chars + 1), max_partitions)
+    packed = bundles(texts, bundle_chars, n_parts)
     sums = packed.agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("tokens")).first()
     n_bundles = max(1, sums.n)
-    n_parts = min(4 * n_bundles, max_partitions)
     deal = Deal.of(sums.tokens or 0, order, n_bundles)
 
     def count(batches):
@@ -374,6 +375,5 @@ def score_corpus(documents: DataFrame, id_col="doc_id", text_col="text", folds=7
     counted = packed.mapInArrow(count, _COUNTS)
     totals = counted.repartition(n_parts, "target").groupBy("target").applyInArrow(total, _MORE)
     kind = texts.schema["doc_id"].dataType.simpleString()
-    own = packed.repartition(n_parts, "bundle")
-    scored = own.groupBy("bundle").cogroup(totals.groupBy("bundle")).applyInArrow(run, _SCORES.format(id=kind))
+    scored = packed.groupBy("bundle").cogroup(totals.groupBy("bundle")).applyInArrow(run, _SCORES.format(id=kind))
     return scored.withColumnRenamed("doc_id", id_col)

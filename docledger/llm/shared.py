@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docledger.storage import shared_dir, written  # noqa: F401  for the operators
+from docledger.storage import shared_dir, written, written_in_buckets  # noqa: F401  for the operators
 
 #: A word: a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"

@@ -28,6 +28,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_in_buckets(df: DataFrame, label: str, column: str, buckets: int) -> DataFrame:
+    """As `written`, in buckets by a column: what meets these rows by that column comes to them, and they aren't shuffled."""
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(buckets, column).option("path", f"{shared_dir(spark)}/docledger/{name}").saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"drop table {name}")  # the name alone: the files lie outside the warehouse and stay
+    return out
+
+
 def save_bytes(spark: SparkSession, content: bytes, name: str) -> str:
     """Write one small file into a new folder of the shared folder, through its own file system; its path."""
     path = f"{shared_dir(spark)}/docledger/{uuid.uuid4().hex}/{name}"
