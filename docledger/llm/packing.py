@@ -2,10 +2,13 @@
 
 A document is its token ids and then one end id; only longer ones are cut, into pieces of exactly
 `length` tokens and a last piece that may be shorter.  Pieces are dealt at random into groups of about
-`group_size`; in each group best-fit decreasing makes the first bins, and a local search over the
-underfull bins moves a piece, exchanges one for one, two for one or one for two, as long as the sum of
-squared fills grows, until the emptiest bins are empty.  A group wastes about one bin of some ten
-thousand, so the number of groups hardly matters; each is one bounded task.
+`group_size`, each one bounded task.  In a group the pieces first fill bins in the order they arrive.  The local
+search then takes the emptiest bin again and again and empties it into the other underfull bins: it moves a piece
+into the tightest room there is, or else exchanges one piece for one, or two for one, so that the other bin becomes as
+full as can be.  Each step makes the sum of squared fills grow, as the bin that gets more is the fuller one.  Bins by
+room, and bins by the largest piece that could take the place of one of theirs, are indexed by size, so a step
+looks at all underfull bins and none is left out.  It ends when no bin can be emptied further, or when there are
+as few bins as the tokens need.
 
 Null text: empty; empty text: the end id alone.  Repeated rows: packed each.  Null ids: packed, with a
 null id.  Empty tables: an empty result.
@@ -13,7 +16,8 @@ null id.  Empty tables: an empty result.
 
 from __future__ import annotations
 
-import bisect
+import heapq
+import json
 import math
 import os
 import zlib
@@ -29,6 +33,38 @@ from docledger.llm.shared import written
 _loaded: dict = {}
 
 
+#: The make of tokenizer whose ids may be looked up run by run (`_Ids`); any other one encodes whole texts.
+_MAKE = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+    "end_of_word_suffix": "</w>",
+}
+
+
+def _make(tokenizer) -> dict:
+    told = json.loads(tokenizer.to_str())
+    own = {k: told.get(k) for k in ("normalizer", "pre_tokenizer", "post_processor")}
+    special = all(t["content"].startswith("<|") for t in told.get("added_tokens", []))
+    return {**own, "end_of_word_suffix": told["model"].get("end_of_word_suffix") if special else None}
+
+
+class _Whole:
+    """The ids of whole texts, by any tokenizer."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.old = tokenizer, {}
+
+    def of(self, texts: pa.Array) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+
+
 class _Ids:
     """A run of non-space characters -> its ids as little-endian 32-bit numbers, remembered up to a bound.
 
@@ -114,12 +150,13 @@ class _Ids:
             self.now[run] = np.array(e.ids, "<u4").tobytes()
 
 
-def _ids(path: str) -> _Ids:
+def _ids(path: str) -> _Ids | _Whole:
     if path not in _loaded:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _loaded[path] = _Ids(Tokenizer.from_file(path))
+        tokenizer = Tokenizer.from_file(path)
+        _loaded[path] = _Ids(tokenizer) if _make(tokenizer) == _MAKE else _Whole(tokenizer)
     return _loaded[path]
 
 
@@ -151,102 +188,140 @@ def tokenized(documents: DataFrame, tokenizer: str, length: int, id_col="doc_id"
     return documents.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).mapInArrow(cut, schema)
 
 
+class _Sizes:
+    """Bins by a size: the sizes that have any are the bits of a number, so the next one up is found at once."""
+
+    def __init__(self, most: int):
+        self.bins: list[dict[int, None]] = [{} for _ in range(most + 1)]
+        self.bits = 0
+
+    def add(self, size: int, b: int) -> None:
+        self.bins[size][b] = None
+        self.bits |= 1 << size
+
+    def drop(self, size: int, b: int) -> None:
+        del self.bins[size][b]
+        if not self.bins[size]:
+            self.bits &= ~(1 << size)
+
+    def up(self, least: int):
+        """The sizes from `least` on that have bins, in order."""
+        bits = self.bits >> least
+        while bits:
+            step = (bits & -bits).bit_length() - 1
+            least += step
+            yield least
+            least, bits = least + 1, bits >> (step + 1)
+
+
 class Bins:
     """Bins of one group: lists of (length, piece), with room for `length` tokens each."""
 
-    def __init__(self, length: int):
-        self.length, self.items, self.fill = length, [], []
-
-    def best_fit_decreasing(self, pieces: list[tuple[int, int]]) -> None:
-        by_room: list[list[int]] = [[] for _ in range(self.length + 1)]
-        rooms = 0  # bit r: a bin with room r
-        for size, piece in sorted(pieces, key=lambda x: (-x[0], x[1])):
-            fitting = rooms >> size
-            if fitting:
-                room = size + (fitting & -fitting).bit_length() - 1
-                b = by_room[room].pop()
-                if not by_room[room]:
-                    rooms &= ~(1 << room)
-            else:
-                b, room = len(self.items), self.length
+    def __init__(self, length: int, items: list[list[tuple[int, int]]] | None = None):
+        self.length = length
+        self.items = items or []
+        self.fill = [sum(x[0] for x in b) for b in self.items]
+        self.rooms = _Sizes(length)  # underfull bins by their room
+        self.reach = _Sizes(length)  # and by room + a piece's length: a piece of up to that length can take its place
+
+    def in_order(self, pieces: list[tuple[int, int]]) -> None:
+        """The first bins: each piece goes into the last one, or else opens the next."""
+        for piece in pieces:
+            if not self.items or self.fill[-1] + piece[0] > self.length:
                 self.items.append([])
                 self.fill.append(0)
-            self.items[b].append((size, piece))
-            self.fill[b] += size
-            if left := room - size:
-                by_room[left].append(b)
-                rooms |= 1 << left
-
-    def _put(self, source: int, out: list, target: int, back: list) -> None:
-        for x in out:
-            self.items[source].remove(x)
-            self.items[target].append(x)
-        for x in back:
-            self.items[target].remove(x)
-            self.items[source].append(x)
-        change = sum(x[0] for x in out) - sum(x[0] for x in back)
-        self.fill[source] -= change
-        self.fill[target] += change
-
-    def improve(self, width: int = 48, rounds: int = 400) -> None:
-        """Empty the emptiest bins into the rooms of others; each step makes the sum of squared fills grow.
-
-        `width` bounds how many other underfull bins an exchange looks at, `rounds` how many bins are tried.
-        """
-        for _ in range(rounds):
-            open_bins = sorted((b for b in range(len(self.items)) if 0 < self.fill[b] < self.length), key=lambda b: (self.fill[b], b))
-            if len(open_bins) < 2 or not self._drain(open_bins[0], open_bins[1:], width):
-                return
-
-    def _drain(self, source: int, others: list[int], width: int) -> bool:
-        changed = False
-        by_room = sorted((self.length - self.fill[b], b) for b in others)
-        while self.fill[source]:
-            step = self._step(source, by_room, width)
-            if not step:
-                return changed
-            out, target, back = step
-            old = self.length - self.fill[target]
-            by_room.pop(bisect.bisect_left(by_room, (old, target)))
-            self._put(source, out, target, back)
-            bisect.insort(by_room, (self.length - self.fill[target], target))
-            changed = True
-        return True
-
-    def _step(self, source: int, by_room: list[tuple[int, int]], width: int):
+            self.items[-1].append(piece)
+            self.fill[-1] += piece[0]
+
+    def _listed(self, b: int, add: bool) -> None:
+        room = self.length - self.fill[b]
+        if room and self.items[b]:
+            (self.rooms.add if add else self.rooms.drop)(room, b)
+            for size in {x[0] for x in self.items[b]}:
+                (self.reach.add if add else self.reach.drop)(room + size, b)
+
+    def _exchange(self, source: int, out: list, target: int, back: list) -> None:
+        """Pieces `out` of the source for pieces `back` of the target; the source isn't listed meanwhile."""
+        self._listed(target, False)
+        for a, b, moved in ((source, target, out), (target, source, back)):
+            for x in moved:
+                self.items[a].remove(x)
+                self.items[b].append(x)
+                self.fill[a] -= x[0]
+                self.fill[b] += x[0]
+        self._listed(target, True)
+
+    def _move(self, source: int) -> bool:
+        for x in sorted(self.items[source], reverse=True):
+            room = next(self.rooms.up(x[0]), self.length)
+            if self.length - room + x[0] > self.fill[source]:
+                self._exchange(source, [x], next(iter(self.rooms.bins[room])), [])
+                return True
+        return False
+
+    def _swap(self, source: int, give: list[tuple[int, int]]) -> bool:
+        """The pieces for one of another bin that leaves that bin as full as can be, and fuller than this one was."""
+        size, widest = sum(x[0] for x in give), self.rooms.bits.bit_length() - 1
+        for reach in self.reach.up(size):
+            if reach - size >= widest:
+                return False
+            # A bin of room r is left with reach - size, and gains r - (reach - size).
+            room, target = max((self.length - self.fill[b], -b) for b in self.reach.bins[reach])
+            if room > reach - size and self.length - (reach - size) > self.fill[source]:
+                back = next(x for x in self.items[-target] if x[0] == reach - room)
+                self._exchange(source, give, -target, [back])
+                return True
+        return False
+
+    def _step(self, source: int) -> bool:
+        if self._move(source):
+            return True
+        one = sorted({x[0]: x for x in self.items[source]}.values(), reverse=True)
+        if any(self._swap(source, [x]) for x in one):
+            return True
         mine = sorted(self.items[source], reverse=True)
-        for x in mine:  # a move into the tightest room
-            at = bisect.bisect_left(by_room, (x[0], -1))
-            if at < len(by_room):
-                return [x], by_room[at][1], []
-        for room, target in by_room[::-1][:width]:
-            if not room or self.fill[target] < self.fill[source]:
-                continue
-            theirs = sorted(self.items[target])
-            best = None
-            for give in [[x] for x in mine] + [[a, b] for i, a in enumerate(mine) for b in mine[i + 1 :]][:64]:
-                size = sum(x[0] for x in give)
-                backs = [[y] for y in theirs] + ([[a, b] for i, a in enumerate(theirs) for b in theirs[i + 1 :]][:64] if len(give) == 1 else [])
-                for back in backs:  # one for one, two for one, one for two
-                    gain = size - sum(y[0] for y in back)
-                    if 0 < gain <= room and (best is None or gain > best[0]):
-                        best = gain, give, back
-            if best:
-                return best[1], target, best[2]
-        return None
+        pairs = {a[0] + b[0]: [a, b] for i, a in enumerate(mine) for b in mine[i + 1 :] if a[0] + b[0] <= self.length}
+        return any(self._swap(source, pairs[size]) for size in sorted(pairs, reverse=True))
+
+    def improve(self) -> None:
+        """Empty the emptiest bins into the rooms of the others."""
+        least = -(-sum(self.fill) // self.length)
+        count = sum(map(bool, self.items))
+        for b in range(len(self.items)):
+            self._listed(b, True)
+        changed = True
+        while changed and count > least:
+            changed = False
+            queue = [(f, b) for b, f in enumerate(self.fill) if 0 < f < self.length]
+            heapq.heapify(queue)
+            while queue and count > least:
+                fill, source = heapq.heappop(queue)
+                if fill != self.fill[source]:  # fuller by now
+                    if fill < self.fill[source] < self.length:
+                        heapq.heappush(queue, (self.fill[source], source))
+                    continue
+                self._listed(source, False)
+                while self.items[source] and self._step(source):
+                    changed = True
+                count -= not self.items[source]
+                self._listed(source, True)
+        for b in range(len(self.items)):
+            self._listed(b, False)
 
 
 def pack_lengths(lengths: list[int], length: int) -> list[list[int]]:
     """Bins of positions in `lengths`."""
     bins = Bins(length)
-    bins.best_fit_decreasing([(n, i) for i, n in enumerate(lengths)])
+    bins.in_order([(n, i) for i, n in enumerate(lengths)])
     bins.improve()
     return [[i for _, i in b] for b in bins.items if b]
 
 
-def pack(pieces: DataFrame, length: int, group_size: int = 50_000) -> DataFrame:
-    """The pieces with sequence_id and offset."""
+def pack(pieces: DataFrame, length: int, group_size: int = 50_000, group_ids: int = 8 << 20) -> DataFrame:
+    """The pieces with sequence_id and offset; a group that carries ids has at most about `group_ids` of them."""
     pieces = written(pieces, "pieces")
+    if "ids" in pieces.columns:
+        group_size = min(group_size, max(1, group_ids // length))
     groups = max(1, math.ceil(pieces.count() / group_size))
     dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "salt"), F.lit(groups)))
     names = [c for c in pieces.columns if c != "salt"]

@@ -1,14 +1,17 @@
 """Quality rules by weak supervision: rules vote or abstain, and a label model weighs them.
 
-Each rule votes good (+1), bad (-1) or abstains (0).  Expectation-maximisation over the counts of vote
-patterns estimates every rule's accuracy on good and on bad texts and the share of good texts; a text is
-kept if the posterior probability of good is at least `threshold`.
+Each rule looks at a statistic of its own and votes good (+1), bad (-1) or abstains (0).  None of them is
+sure: each may vote bad on good texts.  Expectation-maximisation over the counts of vote patterns estimates, for
+every rule, how often its votes are right on good and on bad texts, and the share of good texts; it starts from
+the share of good votes of each pattern and a weak prior that is the same for all rules.  A text is kept if the
+posterior probability of good is at least `threshold`, so a bad vote of a rule that turns out to tell nothing
+doesn't cost a text, and one of a rule that is always right does.
 The patterns are counted over all texts (a map-side combined count with at most 3^rules groups), so EM
 needs no more than that small table whatever the input.
 
 Two hard base rules come first: fewer than 50 words, or more than half of the words inside repeated
-three-word windows.  Null text: no words, so it fails the base.  Repeated rows: one result each.
-Empty tables: an empty result.
+three-word windows; texts that fail them are not learned from.  Null text: no words, so it fails the base.
+Repeated rows: one result each.  Empty tables: an empty result.
 """
 
 from __future__ import annotations
@@ -23,29 +26,33 @@ from docledger.llm.shared import text_bytes
 from docledger.llm.textstats import TextStats, text_stats
 
 
-def _vote(value: float, good: float, bad: float) -> int:
-    """+1 up to `good`, -1 from `bad`, else 0."""
-    return 1 if value <= good else -1 if value >= bad else 0
+def _vote(value: float, good: tuple[float, float], bad: tuple[float, float]) -> int:
+    """+1 within `good`, -1 outside `bad`, else 0."""
+    return 1 if good[0] <= value <= good[1] else 0 if bad[0] < value < bad[1] else -1
+
+
+_FAR = float("inf")
 
 
 def votes(s: TextStats) -> tuple[int, ...]:
-    n = max(1, s.n_words)
-    word = s.word_chars / n
+    n, letters = max(1, s.n_words), max(1, s.n_upper + s.n_lower)
+    repeated = max(s.n_dup_lines / max(1, s.n_lines), s.n_repeat_words / n)
     return (
-        1 if s.n_words >= 100 else 0,
-        1 if 2.5 <= word <= 10 else -1 if word < 1.5 or word > 14 else 0,
-        _vote(s.n_symbols / n, 0.02, 0.2),
-        _vote(s.n_symbols / max(1, s.word_chars), 0.01, 0.15),
-        _vote(s.n_dup_lines / max(1, s.n_lines), 0.05, 0.6),
-        _vote(s.n_repeat_words / n, 0.1, 0.5),
-        _vote(s.n_upper / max(1, s.n_upper + s.n_lower), 0.15, 0.5),
-        _vote(s.n_exclaim / n, 0.02, 0.2),
-        _vote(s.n_adjacent / n, 0.03, 0.2),
-        _vote(s.n_top / n, 0.15, 0.3),
+        _vote(s.n_words, (100, _FAR), (75, _FAR)),
+        _vote(s.word_chars / n, (3.5, 6.5), (3, 7.2)),
+        _vote(s.n_symbols / n, (0, 0.02), (-1, 0.1)),
+        _vote(repeated, (0, 0.02), (-1, 0.08)),
+        _vote(s.n_upper / letters, (0.003, 0.1), (0, 0.3)),
+        _vote(s.n_exclaim / n, (0, 0.01), (-1, 0.1)),
+        _vote(s.n_top / n, (0, 0.1), (-1, 0.2)),
+        _vote(s.n_adjacent / n, (0, 0.01), (-1, 0.03)),
+        _vote(s.n_digits / max(1, s.word_chars), (0, 0.02), (-1, 0.1)),
     )
 
 
-N_RULES = 10
+N_RULES = 9
+#: The pattern of texts that fail the base.
+FAILED = -1
 
 
 def encoded(v: tuple[int, ...]) -> int:
@@ -67,23 +74,26 @@ def base_failed(s: TextStats) -> bool:
     return s.n_words < 50 or 100 * s.n_repeat_words > 50 * s.n_words
 
 
+def pattern(s: TextStats) -> int:
+    return FAILED if base_failed(s) else encoded(votes(s))
+
+
 @F.arrow_udf(T.IntegerType())
 def vote_pattern(text: pa.Array) -> pa.Array:
-    return pa.array([encoded(votes(text_stats(t))) for t in text.to_pylist()], pa.int32())
+    return pa.array([pattern(text_stats(t)) for t in text.to_pylist()], pa.int32())
 
 
 def pattern_counts(documents: DataFrame, text_col="text") -> dict[int, int]:
-    rows = documents.select(vote_pattern(text_bytes(text_col)).alias("pattern")).groupBy("pattern").count().collect()
+    rows = documents.select(vote_pattern(text_bytes(text_col)).alias("pattern")).where(F.col("pattern") != FAILED).groupBy("pattern").count().collect()
     return {r.pattern: r["count"] for r in rows}
 
 
-def fit_label_model(counts: dict[int, int], rounds: int = 500, strength: float = 20.0) -> dict[int, float]:
+def fit_label_model(counts: dict[int, int], rounds: int = 500, strength: float = 4.0, accuracy: float = 0.75) -> dict[int, float]:
     """Posterior probability of good, by vote pattern.
 
-    A rule that votes says bad with a probability of its own in each class; one that abstains says
-    nothing.  `strength` pseudo-texts of a prior (a good text gets a bad vote 1 time in 50, a bad text
-    1 time in 3) keep rules that never vote, and classes that hardly occur, well defined and fix which
-    class is the good one.
+    A rule that votes is right with a probability of its own in each class; one that abstains says
+    nothing.  The prior is `strength` pseudo-votes of that `accuracy` for every rule in either class, and as many
+    pseudo-texts, half of them good: it keeps rules that never vote well defined.
     """
     if not counts:
         return {}
@@ -91,11 +101,11 @@ def fit_label_model(counts: dict[int, int], rounds: int = 500, strength: float =
     v = np.array([decoded(p) for p in patterns])
     n = np.array([counts[p] for p in patterns], float)
     says_bad, says_good = (v == -1).astype(float), (v == 1).astype(float)
-    good = np.where(says_bad.any(1), 0.1, 0.9)
+    good = (says_good.sum(1) + 1) / (says_good.sum(1) + says_bad.sum(1) + 2)
     for _ in range(rounds):
-        share = (n @ good + 0.9 * strength) / (n.sum() + strength)
+        share = (n @ good + 0.5 * strength) / (n.sum() + strength)
         logs = []
-        for weight, part, prior in ((n * (1 - good), 1 - share, 1 / 3), (n * good, share, 0.02)):
+        for weight, part, prior in ((n * (1 - good), 1 - share, accuracy), (n * good, share, 1 - accuracy)):
             bad = weight @ says_bad + strength * prior
             bad /= weight @ (says_bad + says_good) + strength
             logs.append(np.log(part) + says_bad @ np.log(bad) + says_good @ np.log(1 - bad))
@@ -119,7 +129,7 @@ def verdicts(posterior: dict[int, float], threshold: float):
         rows = []
         for t in text.to_pylist():
             s = text_stats(t)
-            failed, p = base_failed(s), posterior.get(encoded(votes(s)), 0.0)
+            failed, p = base_failed(s), posterior.get(pattern(s), 0.0)
             rows.append((*s[:5], failed, not failed and p >= threshold, p))
         return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 

@@ -128,11 +128,56 @@ def test_rules_base(spark, docs, edge):
         assert got == want
 
 
+def brute_em(texts, strength=4.0, accuracy=0.75):
+    """Expectation-maximisation text by text and rule by rule."""
+    p = [(sum(x == 1 for x in v) + 1) / (sum(x != 0 for x in v) + 2) for v in texts]
+    for _ in range(300):
+        share = (sum(p) + strength / 2) / (len(p) + strength)
+        says = {}
+        for j in range(len(texts[0])):
+            for good in (True, False):
+                w = [q if good else 1 - q for q in p]
+                bad = sum(x for x, v in zip(w, texts) if v[j] == -1) + strength * (1 - accuracy if good else accuracy)
+                says[j, good] = bad / (sum(x for x, v in zip(w, texts) if v[j]) + strength)
+        new = []
+        for v in texts:
+            odds = share / (1 - share)
+            for j, x in enumerate(v):
+                if x:
+                    a, b = says[j, True], says[j, False]
+                    odds *= a / b if x == -1 else (1 - a) / (1 - b)
+            new.append(odds / (1 + odds))
+        p = new
+    return p
+
+
+def test_rules_em_is_brute_force():
+    rng = random.Random(4)
+    texts = []
+    for _ in range(120):
+        good = rng.random() < 0.7
+        texts.append(tuple(0 if rng.random() < 0.2 else 1 if (rng.random() < (0.9 if j < 5 else 0.5)) == good else -1 for j in range(rules.N_RULES)))
+    post = rules.fit_label_model(Counter(map(rules.encoded, texts)))
+    assert np.allclose([post[rules.encoded(v)] for v in texts], brute_em(texts), atol=1e-6)
+
+
 def test_rules_em_finds_the_bad_group():
-    good, bad = rules.encoded((1,) * 10), rules.encoded((1, 1, -1, -1, 1, 1, 1, 1, 1, -1))
-    post = rules.fit_label_model({good: 900, bad: 100})
-    assert post[good] > 0.9 > 0.5 > post[bad] and rules.decoded(bad) == (1, 1, -1, -1, 1, 1, 1, 1, 1, -1)
-    assert rules.fit_label_model({}) == {} and rules.fit_label_model({good: 5})[good] > 0.5
+    all_good, n = rules.encoded((1,) * 9), rules.N_RULES
+    bad = rules.encoded((1, -1, -1, 1, 1, 1, -1, 1, 1))
+    noise = {rules.encoded(tuple(-1 if i == j else 1 for i in range(n))): 30 for j in (0, 3, 7)}  # fallible rules, each alone
+    post = rules.fit_label_model({all_good: 900, bad: 100, **noise})
+    assert post[all_good] > 0.9 > 0.5 > post[bad] and all(post[p] > 0.5 for p in noise) and rules.decoded(bad) == (1, -1, -1, 1, 1, 1, -1, 1, 1)
+    assert rules.fit_label_model({}) == {} and rules.fit_label_model({all_good: 5})[all_good] > 0.5
+
+
+def test_rules_beat_all_must_pass(spark):
+    """The posterior parts from the filter that every rule must pass, and agrees better with the labels."""
+    sf = "/root/testdata/sf0.1"
+    rows = queries.read(spark, sf, "documents").join(queries.read(spark, sf, "labels"), "doc_id").select("doc_id", "text", "quality")
+    out = rules.judge_rules(rows.drop("quality")).join(rows, "doc_id").where("not base_failed").collect()
+    must = [-1 not in rules.votes(text_stats((r.text or "").encode())) for r in out]
+    agrees = [sum(bool(k) == (r.quality == 1) for k, r in zip(kept, out)) / len(out) for kept in ([r.kept for r in out], must)]
+    assert sum(r.kept != m for r, m in zip(out, must)) > 100 and agrees[0] > 0.99 and agrees[0] > agrees[1] + 0.03
 
 
 def test_rules_keep_good_documents(spark):
@@ -265,17 +310,58 @@ def test_packing_round_trip(spark, docs, edge):
     assert packing.pack_documents(docs.limit(0), path).count() == 0
 
 
+@pytest.mark.parametrize("change", [None, "Lowercase", "regex"])
+def test_packing_by_any_tokenizer(spark, docs, tmp_path, change):
+    """A tokenizer of another make is seen, and its ids are its own."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    told = json.load(open(queries.tokenizer_path()))
+    if change == "Lowercase":
+        told["normalizer"]["normalizers"].pop()
+    if change == "regex":
+        told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"\\S+"
+    path = str(tmp_path / "tokenizer.json")
+    json.dump(told, open(path, "w"))
+    assert isinstance(packing._ids(path), packing._Whole if change else packing._Ids)
+    tok, rows = Tokenizer.from_file(path), docs.limit(40).select("doc_id", "text")
+    want = Counter((r.doc_id, zlib.crc32(np.array([*tok.encode(r.text or "", add_special_tokens=False).ids, 0], "<u4").tobytes())) for r in rows.collect())
+    assert Counter((r.doc_id, r.ids_crc32) for r in packing.tokenized(rows, path, 10**6).collect()) == want
+
+
 def test_packing_search():
     rng = random.Random(5)
-    for sizes in ([60, 60, 60, 40, 40, 40], [70] * 5 + [30] * 5, [rng.randint(1, 100) for _ in range(2000)], [51] * 40, [], [100, 100]):
+    for sizes in ([60, 60, 60, 40, 40, 40], [70] * 5 + [30] * 5, [rng.randint(1, 100) for _ in range(2000)], [51] * 40, [], [100, 100], [1] * 250):
         bins = packing.pack_lengths(sizes, 100)
         assert sorted(i for b in bins for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= 100 for b in bins)
     assert len(packing.pack_lengths([60, 60, 60, 40, 40, 40], 100)) == 3
-    b = packing.Bins(100)
-    b.items, b.fill = [[(50, 0), (30, 1)], [(45, 2), (35, 3)], [(20, 4), (20, 5)]], [80, 80, 40]
-    before = sum(f * f for f in b.fill)
-    b.improve()
-    assert sum(f * f for f in b.fill) > before and sorted(f for f in b.fill if f) == [100, 100]
+
+
+def test_packing_search_empties_bins():
+    """From bins in order of arrival, the search alone gets within a hundredth of what the tokens need."""
+    rng = random.Random(6)
+    for sizes in ([min(2048, int(rng.lognormvariate(6, 1)) + 1) for _ in range(6000)], [rng.randint(200, 900) for _ in range(6000)]):
+        bins = packing.Bins(2048)
+        bins.in_order([(n, i) for i, n in enumerate(sizes)])
+        first, squares = len(bins.items), sum(f * f for f in bins.fill)
+        bins.improve()
+        left, least = sum(map(bool, bins.items)), math.ceil(sum(sizes) / 2048)
+        assert left < 0.95 * first and left <= 1.01 * least and sum(f * f for f in bins.fill) > squares
+        assert sorted(x for b in bins.items for x in b) == sorted((n, i) for i, n in enumerate(sizes))
+
+
+def test_packing_steps():
+    """A move, an exchange of one for one, and one of two for one; each makes the sum of squared fills grow."""
+    for items, after in (([[(60, 0)], [(30, 1)]], [[30, 60], []]), ([[(45, 2), (35, 3)], [(50, 0), (30, 1)]], [[45, 50], [30, 35]]), ([[(65, 0), (20, 1)], [(18, 2), (17, 3)]], [[17, 18, 65], [20]])):
+        bins = packing.Bins(100, [list(b) for b in items])
+        before = sum(f * f for f in bins.fill)
+        bins._listed(0, True)
+        assert bins._step(1) and [sorted(x[0] for x in b) for b in bins.items] == after
+        assert sum(f * f for f in bins.fill) > before and bins.fill == [sum(b) for b in after]
+    bins = packing.Bins(100, [[(99, 0)], [(2, 1)]])
+    bins._listed(0, True)
+    assert not bins._step(1)
 
 
 # ---- op4 -------------------------------------------------------------------------------------------------------
