@@ -89,6 +89,21 @@ def test_components(spark):
     assert components(edges.limit(0)).count() == 0
 
 
+def test_components_take_few_steps(spark, monkeypatch):
+    """A chain of a thousand edges, in order and not: about as many steps as its logarithm."""
+    import random
+
+    from docledger.operators import components as module
+
+    steps = []
+    monkeypatch.setattr(module, "written", lambda df, label, keep=module.written: (steps.append(label), keep(df, label))[1])
+    order = random.Random(1).sample(range(1001), 1001)
+    for names in (range(1001), order):
+        steps.clear()
+        got = components(spark.createDataFrame([(names[i], names[i + 1]) for i in range(1000)], "a long, b long")).collect()
+        assert {r.root for r in got} == {0} and len(got) == 1001 and steps.count("pointers") <= 18
+
+
 def test_payments(spark):
     pay = spark.createDataFrame([(10, "POL 12", "x", "ENE", Decimal("5.00"), "numerico", "obra"), (11, "POL 12", "x", "ENE", Decimal("5.00"), "numerico", "OBRA"), (12, "77", "x", "FEB", Decimal("8.00"), "recuperado_separadores", "z"), (13, "88", "x", "FEB", None, "invalido", "z")], "excel_row int, account string, origin string, month string, amount decimal(18,2), amount_status string, concept string")
     rows = spark.createDataFrame([record("a", fixed.CHEQUE, amount="5.00", doc="POLIZA 12"), record("b", fixed.CHEQUE, amount="9.00", folio="77", doc="X 1")], RECORD).withColumn("relative_path", F.when(F.col("record_key") == "a", "1. E/POLIZA 12.pdf").otherwise("2. F/X 1.pdf"))
