@@ -416,8 +416,52 @@ def test_jaccard_is_brute_force(spark, docs, edge):
     assert kept == {c for _, c, _ in brute_classes(near_copies())}
 
 
-def test_prefix_is_shortened_to_the_recall():
-    assert jaccard.prefix_length(0.8, 32, 8, 0.9995) == 6 and jaccard.prefix_length(0.8, 32, 8, 0.5) == 8 and jaccard.prefix_length(0.8, 2, 8, 0.999999) == 1
+def test_prefix_is_shortened_until_the_measured_recall():
+    levels = jaccard.planted_levels([40, 100, 300, 1000] * 500, 0.8, 32)
+    assert levels.shape == (2000, 32) and levels.max() == jaccard.DEPTH
+    lengths = [jaccard.prefix_length(levels, r) for r in (0.5, 0.99, 0.999, 0.9999, 0.999999)]
+    assert lengths[0] == 8 and lengths == sorted(lengths, reverse=True) and lengths[-1] < 6
+    for length, r in zip(lengths, (0.5, 0.99, 0.999, 0.9999)):  # the pairs themselves meet at that rate
+        assert (levels.max(1) >= length).mean() >= r - 3 * math.sqrt(r * (1 - r) / len(levels)) - 1e-9
+    assert jaccard.prefix_length(jaccard.planted_levels([300] * 200, 0.8, 2), 0.9999) == 1
+
+
+def test_planted_pairs_at_the_threshold_are_found(spark):
+    """Pairs of texts whose similarity is just above 0.8: the forest finds them all, and pairs just below are no links."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(400):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(94)]  # 90 n-grams; ten words at an end change ten of them
+        below = i % 2
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[: 84 - below] + [f"z{rng.randrange(10**6)}" for _ in range(10 + below)]))]
+    out = {r.doc_id: r for r in jaccard.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in range(400):
+        assert out[2 * i + 1].n_links == (1 if i % 2 == 0 else 0) and (out[2 * i + 1].class_id == 2 * i) == (i % 2 == 0)
+
+
+def test_forest_runs_over_partitions(spark):
+    """Ties are the same however the sorted signatures fall into partitions."""
+    made = spark.createDataFrame(near_copies(200), "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("1", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            assert Counter(map(tuple, jaccard.jaccard_classes(made).collect())) == brute_classes(near_copies(200))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_one_id_with_several_texts(spark):
+    """Texts are classed by themselves, and none of them is lost where ids repeat."""
+    rng = random.Random(9)
+    a, b, c = (" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(80)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (1, c), (4, c), (4, c), (5, a.upper())]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(tuple(r) for r in jaccard.jaccard_classes(df).collect()) == brute_classes(rows)
+    assert Counter(tuple(r) for r in jaccard.jaccard_classes(df, block=1).collect()) == brute_classes(rows)
+    assert sorted(tuple(r) for r in jaccard.keep_one(df).collect()) == sorted([(1, a), (1, b), (1, c)])
 
 
 # ---- op7 -------------------------------------------------------------------------------------------------------
