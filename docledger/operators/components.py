@@ -41,7 +41,7 @@ def components(edges: DataFrame) -> DataFrame:
         parents = _doubled(written(nearest, "parents"))
         rounds.append(parents)
         left, right = (parents.select(F.col("node").alias(x), F.col("parent").alias(f"p{x}")) for x in "ab")
-        edges = written(_undirected(edges.join(left, "a").join(right, "b").select(F.col("pa").alias("a"), F.col("pb").alias("b"))), "edges")
+        edges = written(_undirected(edges.join(right, "b").where("pb <> a").join(left, "a").select(F.col("pa").alias("a"), F.col("pb").alias("b"))), "edges")
     out = rounds[0]
     for later in rounds[1:]:
         up = later.select(F.col("node").alias("parent"), F.col("parent").alias("up"))

@@ -8,21 +8,33 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docledger.functions import fixed
 from docledger.functions import text as x
 
 
-def matches(text: Column, pattern: str, flags: str = "(?s)") -> Column:
-    """Array of struct(value, start, end) of a pattern with one group: offsets from 0 of the whole match.
+def held(rows: DataFrame, **values: Column) -> DataFrame:
+    """The rows with more columns, each computed once: a plan may not copy them into what uses them, as into a lambda.
 
-    Each chunk runs from the end of the match before to the end of a match, so ends are running sums.
+    Of an array of one struct, explode makes the row again.
     """
-    chunks = F.regexp_extract_all(text, F.lit(f"{flags}.*?({pattern})"), F.lit(0))
-    wholes = F.regexp_extract_all(text, F.lit(f"{flags}.*?({pattern})"), F.lit(1))
-    values = F.regexp_extract_all(text, F.lit(f"{flags}.*?{pattern}"), F.lit(1))
+    one = F.explode(F.array(F.struct(*[v.alias(k) for k, v in values.items()])))
+    return rows.select("*", one.alias("held")).select(*rows.columns, *[F.col(f"held.{k}").alias(k) for k in values])
+
+
+def found_in(text: Column, pattern: str, flags: str = "(?s)") -> tuple[Column, Column, Column]:
+    """Of a pattern with one group: chunks (each up to the end of a match), whole matches, and values.
+
+    Each search starts where the match before ended and nowhere else, so a text without matches is read once.
+    """
+    whole = F.lit(rf"{flags}\G(?s:.*?)({pattern})")
+    return F.regexp_extract_all(text, whole, F.lit(0)), F.regexp_extract_all(text, whole, F.lit(1)), F.regexp_extract_all(text, whole, F.lit(2))
+
+
+def placed(chunks: Column, wholes: Column, values: Column) -> Column:
+    """Array of struct(value, start, end): offsets from 0 of the whole matches."""
 
     def place(value: Column, k: Column) -> Column:
         end = F.aggregate(F.slice(chunks, 1, k + 1), F.lit(0), lambda a, c: a + F.length(c))
@@ -31,43 +43,54 @@ def matches(text: Column, pattern: str, flags: str = "(?s)") -> Column:
     return F.transform(values, place)
 
 
-def _found(pages: DataFrame, scanned: Column, pattern: str, order: int) -> DataFrame:
-    """One row for each match in a scanned form of the text; empty matches none, as outer pages are dropped."""
-    return pages.withColumn("scanned", scanned).select("*", F.posexplode(matches(F.col("scanned"), pattern)).alias("pos", "m")).select(*pages.columns, "scanned", F.lit(order).alias("kind_order"), "pos", "m.value", "m.start", "m.end")
-
-
 def entities(pages: DataFrame) -> DataFrame:
     """document_id, relative_path, page_number, entity_type, value, normalized_value, label, confidence, snippet.
 
-    Of equal (type, normalised value, label) on a page the first stays.
+    Of equal (type, normalised value, label) on a page the first stays.  All is done within the page's row, without a
+    shuffle: the text is folded once, all patterns are searched, and what is found is told apart and put in rows.
     """
-    text, upper, folded = F.col("text"), F.upper("text"), x.fold(F.col("text"))
-    raw = F.col("value")
-    parts: list[DataFrame] = []
-
-    def add(kind: str, scanned: Column, pattern: str, value: Column, label: Column, confidence: Column, keep: Column = F.lit(True)) -> None:
-        rows = _found(pages, scanned, pattern, len(parts)).withColumns({"entity_type": F.lit(kind), "normalized_value": value})
-        parts.append(rows.where(keep & F.col("normalized_value").isNotNull()).withColumns({"label": label, "confidence": confidence}))
-
-    identity = F.upper(F.regexp_replace(raw, r"\s+", ""))
-    good_day = x.valid_embedded_date(F.col("normalized_value"))
-    add("rfc", upper, fixed.RFC, identity, F.when(good_day, "RFC").otherwise("RFC con posible error OCR"), F.when(good_day, "alta").otherwise("media"))
-    digit_end = F.col("normalized_value").rlike(r"\d$")
-    add("curp", upper, fixed.CURP, identity, F.when(good_day & digit_end, "CURP").otherwise("CURP con posible error OCR"), F.when(good_day & digit_end, "alta").otherwise("media"))
-    add("clabe", upper, fixed.CLABE, raw, F.lit("CLABE o número de 18 dígitos"), F.lit("alta"))
-    add("uuid", upper, fixed.UUID, raw, F.lit("UUID fiscal"), F.lit("alta"))
-    add("cuenta", folded, fixed.ACCOUNT, F.regexp_replace(raw, r"\D", ""), F.lit("cuenta etiquetada"), F.lit("alta"), F.length("normalized_value").between(8, 20))
-    add("folio_referencia", folded, fixed.FOLIO, F.btrim(F.upper(raw), F.lit("-_/")), F.lit("folio o referencia"), F.lit("alta"), F.length("normalized_value") >= 4)
-    add("fecha", folded, fixed.DATE, x.numeric_date(raw).cast("string"), F.lit("fecha numérica"), F.lit("alta"))
-    before = x.fold(F.substring(F.col("scanned"), F.greatest(F.col("start") - 70, F.lit(0)) + 1, F.least(F.col("start"), F.lit(70))))
-    known = reduce(lambda c, pair: c.when(before.contains(pair[0]), pair[1]), fixed.AMOUNT_LABELS[1:], F.when(before.contains(fixed.AMOUNT_LABELS[0][0]), fixed.AMOUNT_LABELS[0][1])).otherwise("importe mencionado")
-    sure = (F.col("label") != "importe mencionado") | raw.contains("$")
-    rows = _found(pages, text, fixed.MONEY, len(parts)).withColumns({"entity_type": F.lit("importe"), "normalized_value": x.money_value(raw).cast("string")}).where("normalized_value is not null")
-    parts.append(rows.withColumn("label", known).withColumn("confidence", F.when(sure, "alta").otherwise("media")))
-    found = reduce(DataFrame.unionByName, parts)
-    first = Window.partitionBy("document_id", "page_number", "entity_type", "normalized_value", "label").orderBy("kind_order", "pos")
-    found = found.withColumn("place", F.row_number().over(first)).where("place = 1")
-    return found.select("document_id", "relative_path", "page_number", "entity_type", "value", "normalized_value", "label", "confidence", x.snippet(text, F.col("start"), F.col("end")).alias("snippet"))
+    rows = held(pages.select("document_id", "relative_path", "page_number", "text"), upper=F.upper("text"), folded=x.fold(F.col("text")))
+    digits = lambda v: F.regexp_replace(v, r"\s+", "")
+    sure = lambda v: F.coalesce(x.valid_embedded_date(v), F.lit(False))
+    always = lambda label: lambda n, m: (F.lit(label), F.lit("alta"))
+    identity = lambda name, good: lambda n, m: (F.when(good(n), name).otherwise(f"{name} con posible error OCR"), F.when(good(n), "alta").otherwise("media"))
+
+    def amount_label(n: Column, m: Column) -> tuple[Column, Column]:
+        before = x.fold(F.substring(F.col("text"), F.greatest(m["start"] - 70, F.lit(0)) + 1, F.least(m["start"], F.lit(70))))
+        (first, told), *rest = fixed.AMOUNT_LABELS
+        label = reduce(lambda c, pair: c.when(before.contains(pair[0]), pair[1]), rest, F.when(before.contains(first), told))
+        return label.otherwise("importe mencionado"), F.when(label.isNotNull() | m["value"].contains("$"), "alta").otherwise("media")
+
+    kinds = [  # type, text searched, pattern, normalised value, (label, confidence), what is kept
+        ("rfc", "upper", fixed.RFC, digits, identity("RFC", sure), None),
+        ("curp", "upper", fixed.CURP, digits, identity("CURP", lambda n: sure(n) & n.rlike(r"\d$")), None),
+        ("clabe", "upper", fixed.CLABE, lambda v: v, always("CLABE o número de 18 dígitos"), None),
+        ("uuid", "upper", fixed.UUID, lambda v: v, always("UUID fiscal"), None),
+        ("cuenta", "folded", fixed.ACCOUNT, lambda v: F.regexp_replace(v, r"\D", ""), always("cuenta etiquetada"), lambda n: F.length(n).between(8, 20)),
+        ("folio_referencia", "folded", fixed.FOLIO, lambda v: F.btrim(F.upper(v), F.lit("-_/")), always("folio o referencia"), lambda n: F.length(n) >= 4),
+        ("fecha", "folded", fixed.DATE, lambda v: x.numeric_date(v).cast("string"), always("fecha numérica"), None),
+        ("importe", "text", fixed.MONEY, lambda v: x.money_value(v).cast("string"), amount_label, None),
+    ]
+    names = ("chunks", "wholes", "values")
+    rows = held(rows, **{f"{n}{i}": c for i, k in enumerate(kinds) for n, c in zip(names, found_in(F.col(k[1]), k[2]))})
+    normal = lambda i, value: F.transform(placed(*[F.col(f"{n}{i}") for n in names]), lambda m: F.struct(m["value"].alias("value"), m["start"].alias("start"), m["end"].alias("end"), value(m["value"]).alias("normalized_value")))
+    rows = held(rows, **{f"found{i}": normal(i, k[3]) for i, k in enumerate(kinds)})
+
+    def told(i: int, kind: str, scanned: str, label, keep) -> Column:
+        kept = F.filter(F.col(f"found{i}"), lambda m: m["normalized_value"].isNotNull() & (keep(m["normalized_value"]) if keep else F.lit(True)))
+
+        def entity(m: Column) -> Column:
+            says, confidence = label(m["normalized_value"], m)
+            return F.struct(F.lit(kind).alias("entity_type"), m["value"].alias("value"), m["normalized_value"].alias("normalized_value"), says.alias("label"), confidence.alias("confidence"), F.lit(scanned).alias("scanned"), m["start"].alias("start"), m["end"].alias("end"))
+
+        return F.transform(kept, entity)
+
+    rows = held(rows, found=F.concat(*[told(i, kind, scanned, label, keep) for i, (kind, scanned, _, _, label, keep) in enumerate(kinds)]))
+    same = lambda e: F.struct(e["entity_type"], e["normalized_value"], e["label"])
+    rows = held(rows, told=F.transform("found", same))
+    first = F.filter("found", lambda e, i: F.array_position(F.col("told"), same(e)) == i + 1)
+    out = rows.select("document_id", "relative_path", "page_number", "text", F.explode(first).alias("e"))
+    return out.select("document_id", "relative_path", "page_number", *[F.col(f"e.{c}").alias(c) for c in ("entity_type", "value", "normalized_value", "label", "confidence")], x.snippet(F.col("text"), F.col("e.start"), F.col("e.end")).alias("snippet"))
 
 
 _FIELDS = ["operation_date", "beneficiary", "account_source", "account_destination", "bank", "folio", "reference", "concept", "rfc", "curp", "uuid"]
@@ -92,10 +115,10 @@ def _text(value: Column) -> Column:
 def payroll_records(pages: DataFrame, issuer_rfc: str = "MEZ850101AH7") -> DataFrame:
     """One a page at most.  The issuer's own RFC is taken only if there is no other."""
     text, f = F.col("text"), F.col("f")
-    rows = pages.withColumn("f", x.fold(text)).where(f.contains("NETO DEL RECIBO") & (f.contains("CURP") | f.contains("PERCEPCIONES")))
+    rows = held(pages, f=x.fold(text)).where(f.contains("NETO DEL RECIBO") & (f.contains("CURP") | f.contains("PERCEPCIONES")))
     rfcs = F.transform(F.regexp_extract_all(F.upper(text), F.lit(fixed.RFC), F.lit(1)), lambda v: F.regexp_replace(v, r"\s+", ""))
     named = F.coalesce(x.first_group(text, r"\b\d{3}\s*-\s*([^|\n]{4,80}?)(?=\s+(?:Ejercicio|RFC|Periodo)|[|\n])"), x.first_group(text, r"\b\d{3}\s*-\s*([A-ZÁÉÍÓÚÜÑ][A-ZÁÉÍÓÚÜÑ ]{3,60})"))
-    rows = rows.withColumns({
+    rows = held(rows, **{
         "rfc": F.coalesce(F.try_element_at(F.filter(rfcs, lambda v: v != issuer_rfc), F.lit(1)), F.try_element_at(rfcs, F.lit(-1))),
         "curp": F.nullif(F.regexp_extract(F.upper(text), fixed.CURP, 1), F.lit("")),
         "uuid": F.nullif(F.regexp_extract(F.upper(text), fixed.UUID, 1), F.lit("")),
@@ -123,12 +146,13 @@ def cheque_payee(f: Column) -> Column:
 
 def cheque_records(pages: DataFrame) -> DataFrame:
     text, f = F.col("text"), F.col("f")
-    rows = pages.withColumn("f", x.fold(text)).where(f.contains("PAGUESE") | f.contains("FAVOR")).withColumn("who", cheque_payee(f)).where("who is not null")
+    rows = held(pages, f=x.fold(text)).where(f.contains("PAGUESE") | f.contains("FAVOR"))
+    rows = held(rows, who=cheque_payee(f)).where("who is not null")
     at = F.length(F.regexp_extract(f, r"(?s)^(.*?)PAGUESE[^\n]{0,100}CHEQUE", 1))
     begin = F.greatest(at - 250, F.lit(0))
     near = F.when(f.rlike(r"PAGUESE[^\n]{0,100}CHEQUE"), F.substring(f, begin + 1, at + 500 - begin))
     amount = F.coalesce(x.money_value(F.nullif(F.regexp_extract(near, fixed.MONEY, 1), F.lit(""))), x.first_money(f, r"CANTIDAD\s+DE[^$\d]{0,60}(\$?\s*\d[\d, ]*\.\d{2})"))
-    rows = rows.withColumns({
+    rows = held(rows, **{
         "cheque": F.coalesce(x.first_group(f, r"\bCH\s*[:;-]?\s*[-A-Z ]*?(\d{1,8})"), x.first_group(f, r"CHEQUE\s+NUMERO\s+(\d{1,8})"), x.first_group(F.col("relative_path"), r"(?:^|[/\\])CH[- _](\d{1,8})")),
         "paid": amount,
         "about": x.first_group(f, r"POR\s+CONCEPTO\s+DE\s*:\s*([^\n]{4,300})"),
@@ -142,8 +166,8 @@ def cheque_records(pages: DataFrame) -> DataFrame:
 
 def transfer_records(pages: DataFrame, portal: str = "NET CASH", bank: str = "BBVA") -> DataFrame:
     text, f = F.col("text"), F.col("f")
-    rows = pages.withColumn("f", x.fold(text)).where(f.contains(portal) & f.contains("FOLIO"))
-    rows = rows.withColumns({
+    rows = held(pages, f=x.fold(text)).where(f.contains(portal) & f.contains("FOLIO"))
+    rows = held(rows, **{
         "lot": x.first_group(f, r"FOLIO(?:\s+DEL\s+LOTE)?\s*:\s*([A-Z0-9-]{4,40})"),
         "single": x.first_group(f, r"FOLIO\s+UNICO\s*:\s*([A-Z0-9-]{8,60})"),
         "paid": F.coalesce(x.first_money(f, r"IMPORTE\s+TOTAL\s*:\s*(\$?\s*\d[\d, ]*\.\d{2})"), x.first_money(f, r"CIFRA\s+DE\s+CONTROL\s*:\s*(\$?\s*\d[\d, ]*\.\d{2})")),
@@ -165,15 +189,15 @@ def mode(values: Column) -> Column:
 def policy_records(pages: DataFrame, own_names: tuple[str, ...] = ("MUNICIPIO DE EMILIANO ZAPATA",)) -> DataFrame:
     """A repeated amount (the commonest, then the smallest) beats a labelled total."""
     text, f = F.col("text"), F.col("f")
-    rows = pages.withColumn("f", x.fold(text)).where(f.contains("POLIZAS DE PAGO FOLIO") | f.rlike(r"\bORDEN\s+PAGO\b"))
-    rows = rows.withColumn("number", x.first_group(f, r"FOLIO\s*:\s*([A-Z0-9-]{5,30})")).where("number is not null")
+    rows = held(pages, f=x.fold(text)).where(f.contains("POLIZAS DE PAGO FOLIO") | f.rlike(r"\bORDEN\s+PAGO\b"))
+    rows = held(rows, number=x.first_group(f, r"FOLIO\s*:\s*([A-Z0-9-]{5,30})")).where("number is not null")
     amounts = F.filter(F.transform(F.regexp_extract_all(text, F.lit(fixed.MONEY), F.lit(1)), x.money_value), lambda a: a > 0)
     counted = F.transform(F.array_distinct(amounts), lambda a: F.struct(F.size(F.filter(amounts, lambda b: b == a)).alias("n"), (-a).alias("minus")))
     words = "PAGADO|PEGADO|EJERCIDO|DEVENGADO|AUTORIZADA" + "".join("|" + n for n in own_names)
     inside = F.filter(F.regexp_extract_all(f, F.lit(r"\(([A-ZÁÉÍÓÚÜÑ][A-ZÁÉÍÓÚÜÑ ]{4,100})\)"), F.lit(1)), lambda v: ~v.rlike(words))
     inside = F.filter(F.transform(inside, x.clean_space), lambda v: F.size(F.split(v, " ")) >= 2)
     days = F.filter(F.transform(F.regexp_extract_all(f, F.lit(fixed.DATE), F.lit(1)), x.numeric_date), lambda d: d.isNotNull() & (F.coalesce(F.col("month_number"), F.lit(0)).isin(0) | (F.month(d) == F.col("month_number"))))
-    rows = rows.withColumns({
+    rows = held(rows, **{
         "repeated": F.array_max(F.filter(counted, lambda c: c["n"] >= 2)),
         "total": x.first_money(f, r"\bTOTAL\s*\$?\s*(\$?\s*\d[\d, ]*\.\d{2})"),
         "labelled": F.nullif(x.clean_space(F.split_part(x.first_group(f, r"AUXILIAR\s+([^\n]{3,100})"), F.lit("ESTATUS"), F.lit(1))), F.lit("")),
@@ -193,12 +217,12 @@ def policy_records(pages: DataFrame, own_names: tuple[str, ...] = ("MUNICIPIO DE
 def bank_records(pages: DataFrame) -> DataFrame:
     """Any number a page: an anchor line and the block to the next one, or 700 characters beyond its own end."""
     f = F.col("f")
-    rows = pages.withColumn("f", x.fold(F.col("text"))).where(f.contains("ESTADO DE CUENTA") & (f.contains("SPEI") | f.contains("REFERENCIA")))
+    rows = held(pages, f=x.fold(F.col("text"))).where(f.contains("ESTADO DE CUENTA") & (f.contains("SPEI") | f.contains("REFERENCIA")))
     anchor = r"(^[ \t]*\d{2}/[A-Z]{3}[ \t]+\d{2}/[A-Z]{3}[ \t]+[A-Z0-9]{2,4}[ \t]+[^\n]{4,240}$)"
-    found = rows.withColumn("a", matches(f, anchor, "(?sm)")).select("*", F.posexplode("a").alias("k", "m"))
+    found = held(held(rows, **dict(zip(("chunks", "wholes", "values"), found_in(f, anchor, "(?m)")))), a=placed(F.col("chunks"), F.col("wholes"), F.col("values"))).select("*", F.posexplode("a").alias("k", "m"))
     part = lambda i: F.regexp_extract(F.col("m.value"), r"^[ \t]*(\d{2})/([A-Z]{3})[ \t]+\d{2}/[A-Z]{3}[ \t]+([A-Z0-9]{2,4})[ \t]+([^\n]{4,240})$", i)
     end = F.coalesce(F.get(F.col("a"), F.col("k") + 1)["start"], F.least(F.length(f), F.col("m.end") + 700))
-    found = found.withColumns({"block": F.substring(f, F.col("m.start") + 1, end - F.col("m.start")), "about": x.clean_space(part(4)), "code": part(3), "day": x.make_day(part(1), x.month_number(part(2)).cast("string"), F.col("year").cast("string"))})
+    found = held(found, **{"block": F.substring(f, F.col("m.start") + 1, end - F.col("m.start")), "about": x.clean_space(part(4)), "code": part(3), "day": x.make_day(part(1), x.month_number(part(2)).cast("string"), F.col("year").cast("string"))})
     found = found.withColumn("paid", x.money_value(F.nullif(F.regexp_extract(F.col("about"), fixed.MONEY, 1), F.lit("")))).where("paid is not null")
     lines = F.filter(F.transform(F.split(F.col("block"), "\n"), x.clean_space), lambda c: c != "")
     names = F.filter(F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1))), lambda c: F.length(c).between(5, 100) & c.rlike("^[A-ZÑ ]+$") & ~c.rlike("BANCOMER|INSTITUCION|SPEI|PAGINA"))
