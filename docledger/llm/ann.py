@@ -3,11 +3,10 @@
 Index: centroids from balanced k-means over a bounded sample (`sample` vectors, the first by a hash of
 the id); every vector is put into the list of its nearest centroid and, at a boundary, replicated into
 further lists whose centroids are nearly as near and not nearer to one chosen before than to the
-vector.  Search: a best-first walk over an in-memory graph of the centroids finds a query's nearest
-`probes` centroids, or more until their lists are the nearest of `LEAST` (k + 1) vectors; all of these lists
-are searched, so no query is left with fewer than k answers while there are candidates.  How many `probes` follows
-from the index: the exact neighbours of at most `tuning` queries are found, and `probes` grows until the lists walked
-to hold `recall` of them.  Lists and their queries meet by list number; a list longer than `list_rows` is dealt into parts that are searched apart,
+vector.  Search: a best-first walk over an in-memory graph of the centroids finds a query's nearest ones; the lists
+within a ratio of the nearest one's distance are searched, and the next ones until they hold `LEAST` (k + 1) vectors, so
+no query is left with fewer than k answers while there are candidates.  The ratio follows from the index: the exact
+neighbours of at most `tuning` queries are found, and it is the least one whose lists hold `recall` of them.  Lists and their queries meet by list number; a list longer than `list_rows` is dealt into parts that are searched apart,
 so no task holds an unbounded list, and each part sends on its best few only.
 
 Equal vectors: of those, only the k + 1 smallest ids can be among k nearest, so only they are indexed,
@@ -36,7 +35,13 @@ from docledger.llm.shared import written
 LEAST = 4
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component to about one: no square over- or underflows, and no digit changes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, initial=0.0))[1][:, None])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
+    x = _scaled(x)
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
 
 
@@ -106,12 +111,17 @@ class Index:
             out.append(chosen)
         return out
 
-    def enough(self, query: np.ndarray, width: int, held: np.ndarray, least: int) -> list[int]:
-        """The nearest `width` lists, or more until they hold `least` vectors or are all."""
+    def selected(self, query: np.ndarray, ratio: float, floor: float, held: np.ndarray, least: int) -> list[int]:
+        """The lists whose distance is within `ratio` of the nearest one's (or of `floor`, where that is larger), and
+        then the next ones until they hold `least` vectors or are all."""
+        width = 16
         while True:
-            found = [c for _, c in self.walk(query, width)]
-            if len(found) == len(self.centroids) or held[found].sum() >= least:
-                return found
+            found = self.walk(query, width)
+            reach = ratio**2 * max(found[0][0], floor)
+            near = sum(d <= reach for d, _ in found)
+            total = np.cumsum(held[[c for _, c in found]])
+            if len(found) == len(self.centroids) or (near < len(found) and total[-1] >= least):
+                return [c for _, c in found[: max(near, int(np.searchsorted(total, least)) + 1)]]
             width *= 2
 
 
@@ -180,18 +190,18 @@ def nearest_of_some(cand: DataFrame, ids: np.ndarray, asked: np.ndarray, k: int)
     return found.withColumn("r", place).where(F.col("r") <= k).select("q", "v")
 
 
-def tuned_probes(index: Index, asked: np.ndarray, q: np.ndarray, neighbours: np.ndarray, replicas: int, replica_ratio: float, probes: int, recall: float) -> int:
-    """The width of walk, from `probes` on, whose lists hold `recall` of the neighbours of the asking vectors, or all lists."""
-    width, unit, held = probes, _unit(asked), index.lists_of(neighbours, replicas, replica_ratio) if len(neighbours) else []
-    while width < len(index.centroids):
-        found = [{c for _, c in index.walk(x, width)} for x in unit]
-        if sum(not found[i].isdisjoint(lists) for i, lists in zip(q, held)) >= recall * len(held):
-            return width
-        width = math.ceil(1.25 * width)
-    return len(index.centroids)
+def tuned_ratio(index: Index, asked: np.ndarray, q: np.ndarray, neighbours: np.ndarray, replicas: int, replica_ratio: float, recall: float) -> tuple[float, float]:
+    """(ratio, floor): how far, in terms of its nearest list's distance, a query must look to find a share `recall` of the
+    true neighbours of the asking vectors in some list of theirs; the floor is the usual distance of a nearest list."""
+    if not len(neighbours):
+        return 1.0, 0.0
+    far = np.maximum(2 - 2 * _unit(asked) @ index.centroids.T, 0)
+    floor = float(np.median(far.min(1)))
+    need = [far[i, lists].min() / max(far[i].min(), floor, 1e-12) for i, lists in zip(q, index.lists_of(_unit(neighbours), replicas, replica_ratio))]
+    return max(1.0, math.sqrt(np.quantile(need, recall, method="higher")) * (1 + 1e-9)), floor
 
 
-def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", every=50, k=5, sample=32_768, rows_per_list=64, max_lists=4096, replicas=4, replica_ratio=1.25, probes=144, recall=0.95, tuning=128, list_rows=4096) -> DataFrame:
+def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", every=50, k=5, sample=32_768, rows_per_list=64, max_lists=4096, replicas=4, replica_ratio=1.25, recall=0.95, tuning=256, list_rows=4096) -> DataFrame:
     """query_id, rank, id, score: the k nearest found of each row whose id is divisible by `every`."""
     spark = vectors.sparkSession
     rows = valid_vectors(vectors, id_col, vector_col)
@@ -208,10 +218,11 @@ def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", every=50
     index = build_index(_matrix(some["v"]), min(max_lists, math.ceil(total / rows_per_list)))
     shared = spark.sparkContext.broadcast((index.centroids, index.graph))  # at most max_lists centroids
     few = queries.orderBy(F.xxhash64("id", F.lit(2)), "id").limit(tuning).select("id", "v").toArrow()
-    if len(few) and len(index.centroids) > probes:
+    ratio, floor = 1.0, 0.0
+    if len(few):
         asked_few = _matrix(few["v"])
         true = nearest_of_some(cand, few["id"].to_numpy(), asked_few, k).toArrow()  # at most tuning * k rows
-        probes = tuned_probes(index, asked_few, true["q"].to_numpy(), _matrix(true["v"]), replicas, replica_ratio, probes, recall)
+        ratio, floor = tuned_ratio(index, asked_few, true["q"].to_numpy(), _matrix(true["v"]), replicas, replica_ratio, recall)
     kind = f"array<{vectors.schema[vector_col].dataType.elementType.simpleString()}>"
 
     def placed(batches):
@@ -232,7 +243,7 @@ def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", every=50
         for b in batches:
             which, lists = [], []
             for i, q in enumerate(_unit(_matrix(b.column("v")))):
-                near = index.enough(q, probes, held.value, LEAST * (k + 1))
+                near = index.selected(q, ratio, floor, held.value, LEAST * (k + 1))
                 which += [i] * len(near)
                 lists += near
             yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), *b.take(pa.array(which)).columns], ["list", *b.schema.names])
@@ -251,10 +262,10 @@ def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", every=50
     def compared(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list = []
         if len(left) and len(right):
-            y = _matrix(right["v"])
+            y = _scaled(_matrix(right["v"]))
             ids, unit = right["id"].to_numpy(), _unit(y)
             k1, k2 = left["k1"].to_numpy(), left["k2"].to_numpy()
-            q = _matrix(left["v"])
+            q = _scaled(_matrix(left["v"]))
             for start in range(0, len(q), 512):
                 block = q[start : start + 512]
                 rough = _unit(block) @ unit.T

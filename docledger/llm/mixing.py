@@ -3,21 +3,22 @@
 Sizes (words) are summed by source; sources in code point order, null last, get the weights in turn and share
 the whole; a source's target is at most `cap` times its size, and the excess is shared again by weight
 until none is above.  A document is emitted floor(rate) times, rate = target / size of its source, plus
-one more time with probability equal to the fraction: where the hash of its id and a seed is below it.
-For each source, of `seeds` seeds the one is taken whose total comes nearest to the target (the first
-of equals), so heavy documents cannot pull a small source far off; it is counted in the same pass.
+one more time with probability equal to the fraction: where the hash of its id and of `seed` is below it, one draw a
+document.  So a source's words come near its target as far as chance has it: the fewer and the more unequal its
+documents, the less near.
 
 Null text: size 0.  Null source: a source of its own.  Null id: hashed as the empty text.  Repeated rows
 draw alike and are emitted each.  A source of size 0: rate 0.  Empty tables: an empty result.
 
 Scale: the only wide data are documents, read twice and never shuffled where the table of sources is small
-(its row count is checked against `broadcast_sources`; beyond it the join shuffles).  The ranking
-of sources is a range sort with per-partition offsets; levelling is a few sums over that small table.
+(its row count is checked against `broadcast_sources`; beyond it documents meet their source's rate in one of `SALT`
+shares, so that a source with a third of all rows is no single task).  The ranking of sources is a range sort with
+per-partition offsets; levelling is a few sums over that small table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docledger.llm.shared import WORD, written
@@ -27,9 +28,13 @@ def n_words(text_col: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def draw(id_col: str, seed) -> Column:
+#: Shares that a source's documents are dealt into where the sources are too many to broadcast.
+SALT = 64
+
+
+def draw(id_col: str, seed: int) -> Column:
     """A number in [0, 1) from the id and a seed."""
-    text = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("#"), F.lit(seed).cast("string") if isinstance(seed, int) else seed.cast("string"))
+    text = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f"#{seed}"))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
@@ -39,7 +44,8 @@ def ranked(sources: DataFrame) -> DataFrame:
     # The id's upper bits are the partition's number, its lower 33 bits the row's place in it.
     ordered = written(ordered.withColumn("at", F.monotonically_increasing_id()), "ranked").withColumn("part", F.shiftright("at", 33))
     counts = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.alias("x").join(counts.alias("y"), F.col("y.part") < F.col("x.part"), "left").groupBy("x.part").agg(F.coalesce(F.sum("y.n"), F.lit(0)).alias("before"))
+    others = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    before = counts.select("part", F.coalesce(F.sum("n").over(others), F.lit(0)).alias("before"))
     return ordered.join(F.broadcast(before), "part").withColumn("rank", F.col("before") + F.col("at") - F.shiftleft(F.col("part"), 33)).drop("part", "at", "before")
 
 
@@ -61,26 +67,21 @@ def targets(sources: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame
     return table.select("source", "source_size", F.least(F.col("weight") * F.lit(level), most).alias("target"))
 
 
-def mixed_copies(documents: DataFrame, weights=(1, 2, 3), cap=3, id_col="doc_id", text_col="text", source_col="source", seeds=16, broadcast_sources=100_000, carry: tuple[str, ...] = ()) -> DataFrame:
+def mixed_copies(documents: DataFrame, weights=(1, 2, 3), cap=3, id_col="doc_id", text_col="text", source_col="source", seed=0, broadcast_sources=100_000, carry: tuple[str, ...] = ()) -> DataFrame:
     """id, size, source_size, target, copies, and the columns to carry; a row for each row."""
     docs = documents.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), n_words(text_col).alias("_size"), *[F.col(c).alias(f"_c_{c}") for c in carry])
     sizes = written(docs.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size")), "sources")
-    aim = written(targets(sizes, tuple(weights), cap), "targets")
-    few = aim.count() <= broadcast_sources
-
-    def with_source(rows: DataFrame, table: DataFrame) -> DataFrame:
-        table = F.broadcast(table) if few else table
-        return rows.join(table, (F.coalesce("_source", F.lit("")) == F.coalesce("source", F.lit(""))) & (F.col("_source").isNull() == F.col("source").isNull()), "left").drop("source")
-
+    aim = targets(sizes, tuple(weights), cap)
     rate = F.least(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0), F.lit(float(cap)))
-    rated = aim.select("source", "source_size", "target", F.floor(rate).alias("whole"), (rate - F.floor(rate)).alias("part"))
-    drawn = with_source(docs.select("_id", "_source", "_size"), rated).groupBy("_source").agg(*[F.coalesce(F.sum(F.when(draw("_id", s) < F.col("part"), F.col("_size"))), F.lit(0)).alias(f"s{s}") for s in range(seeds)])
-    joined = rated.join(drawn, F.col("_source").eqNullSafe(F.col("source")), "left")
-    off = [F.struct(F.abs(F.col("whole") * F.col("source_size") + F.col(f"s{s}") - F.col("target")).alias("off"), F.lit(s).alias("seed")) for s in range(seeds)]
-    chosen = written(joined.select("source", "source_size", "target", "whole", "part", F.array_min(F.array(*off)).getField("seed").alias("seed")), "rates")
-    out = with_source(docs, chosen)
-    copies = (F.col("whole") + F.when(draw("_id", F.col("seed")) < F.col("part"), 1).otherwise(0)).cast("int")
-    return out.select(F.col("_id").alias(id_col), F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"), *[F.col(f"_c_{c}").alias(f"_c_{c}") for c in carry])
+    rated = written(aim.select("source", "source_size", "target", F.floor(rate).alias("whole"), (rate - F.floor(rate)).alias("part")), "rates")
+    same = (F.coalesce("_source", F.lit("")) == F.coalesce("source", F.lit(""))) & (F.col("_source").isNull() == F.col("source").isNull())
+    if rated.count() <= broadcast_sources:
+        out = docs.join(F.broadcast(rated), same, "left")
+    else:
+        shares = rated.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        out = docs.withColumn("_a", F.pmod(F.xxhash64("_id", "_size"), F.lit(SALT)).cast("int")).join(shares, same & (F.col("_a") == F.col("_b")), "left")
+    copies = (F.col("whole") + F.when(draw("_id", seed) < F.col("part"), 1).otherwise(0)).cast("int")
+    return out.select(F.col("_id").alias(id_col), F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"), *[F.col(f"_c_{c}") for c in carry])
 
 
 def mix(documents: DataFrame, **options) -> DataFrame:

@@ -7,7 +7,7 @@ Cholesky factors) plus the log prior odds.  Labels are learned from a bounded sa
 every whole text is scored in one pass, without a shuffle.  Only the text enters a score.
 
 Null text: empty.  Empty text: statistics of nought, scored like any other.  Null labels are not
-learned from; several labels of an id: the highest.  Repeated rows: one result each.  Fewer than two
+learned from; several labels of an id: the highest; several texts of an id: the one of the least statistics.  Repeated rows: one result each.  Fewer than two
 classes to learn from: score 1 for every row.  Empty tables: an empty result.
 """
 
@@ -49,7 +49,7 @@ def features(text: bytes) -> list[float]:
 @dataclass(frozen=True)
 class QuadraticModel:
     means: tuple[np.ndarray, ...]
-    factors: tuple[np.ndarray, ...]
+    factors: tuple[np.ndarray, ...]  # of each class, the inverse of its covariance's Cholesky factor
     log_odds: float
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -57,8 +57,8 @@ class QuadraticModel:
             return np.ones(len(x))
         density = []
         for mean, low in zip(self.means, self.factors):
-            z = np.linalg.solve(low, (x - mean).T) if len(x) else np.zeros((x.shape[1], 0))
-            density.append(-0.5 * (z * z).sum(0) - np.log(np.diag(low)).sum())
+            z = (x - mean) @ low.T  # `low` whitens: the inverse of the Cholesky factor
+            density.append(-0.5 * (z * z).sum(1) + np.log(np.diag(low)).sum())
         return 1 / (1 + np.exp(-np.clip(density[1] - density[0] + self.log_odds, -500, 500)))
 
 
@@ -71,7 +71,7 @@ def fit_quadratic(x: np.ndarray, y: np.ndarray, priors: tuple[float, float], poo
     both = sum(s * (len(p) - 1) for s, p in zip(spread, parts)) / max(1, len(x) - 2)
     scale = np.diag(np.maximum(np.diag(both), 1e-6))
     shrunk = [(1 - ridge) * ((1 - pooled) * s + pooled * both) + ridge * scale for s in spread]
-    return QuadraticModel(means, tuple(np.linalg.cholesky(s) for s in shrunk), float(np.log(priors[1] / priors[0])))
+    return QuadraticModel(means, tuple(np.linalg.inv(np.linalg.cholesky(s)) for s in shrunk), float(np.log(priors[1] / priors[0])))
 
 
 def quality_model(documents: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality", folds=5, held_out_fold=0, sample_per_class=4000) -> QuadraticModel:
@@ -84,7 +84,7 @@ def quality_model(documents: DataFrame, labels: DataFrame, id_col="doc_id", text
     pick = lambda k: known.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(sample_per_class)
     chosen = pick(0).unionAll(pick(1))  # at most 2 * sample_per_class rows
     docs = documents.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
-    found = docs.join(F.broadcast(chosen), "id").select("id", "label", statistics(F.col("text")).alias("x")).dropDuplicates(["id"])
+    found = docs.join(F.broadcast(chosen), "id").select("id", "label", statistics(F.col("text")).alias("x")).groupBy("id", "label").agg(F.min("x").alias("x"))
     rows = sorted(found.collect())
     if not rows:
         return QuadraticModel((), (), 0.0)

@@ -25,7 +25,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def op1_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return toxicity.score_severity(docs, toxicity.severity_model(docs, read(spark, sf_dir, "labels")))
+    # The labels only say yes or no: grade 2 is a toxic document that is marked as of bad quality too.
+    return toxicity.score_severity(docs, toxicity.severity_model(docs, read(spark, sf_dir, "labels"), graver_col="quality"))
 
 
 def op2_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,11 +142,8 @@ from u left join f on f.page_id = u.page_id and f.k = 1
 """
 
 
-def _op8_sql(weights=(1, 2, 3), cap=3, seeds=16) -> str:
-    draw = "(cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || '#' || {seed}), 1, 8) as bigint) / 4294967296.0)"
-    offs = ", ".join(f"abs(floor(rate) * source_size + sum(case when {draw.format(seed=repr(str(s)))} < rate - floor(rate) then size else 0 end) - target) as o{s}" for s in range(seeds))
-    least = "least(" + ", ".join(f"o{s}" for s in range(seeds)) + ")"
-    seed = "case " + " ".join(f"when o{s} = {least} then '{s}'" for s in range(seeds)) + " end"
+def _op8_sql(weights=(1, 2, 3), cap=3, seed=0) -> str:
+    draw = f"(cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || '#{seed}'), 1, 8) as bigint) / 4294967296.0)"
     return f"""
 with d as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as bigint) as size from documents),
 s as (select source, cast(sum(size) as bigint) as source_size, [{', '.join(map(str, weights))}][1 + (row_number() over (order by source nulls last) - 1) % {len(weights)}] as w from d group by source),
@@ -155,13 +153,10 @@ o as (select *, coalesce(sum({cap}.0 * source_size) over (order by top, source r
         row_number() over (order by top, source) as place from c),
 l as (select coalesce(arg_min((total - held) / free, place), 1e300) as level from o where (total - held) / free <= top),
 t as (select source, source_size, least(w * (select level from l), {cap}.0 * source_size) as target from s),
-x as (select source, source_size, target, case when source_size > 0 then least(target / source_size, {cap}.0) else 0 end as rate from t),
-j as (select d.doc_id, d.size, x.* from d join x on d.source is not distinct from x.source),
-k as (select source, rate, source_size, target, {offs} from j group by source, rate, source_size, target),
-z as (select source, {seed} as seed from k)
-select j.doc_id, j.size, j.source_size, round(j.target, 4) as target,
-  cast(j.size * (floor(j.rate) + case when {draw.format(seed='z.seed')} < j.rate - floor(j.rate) then 1 else 0 end) as bigint) as taken
-from j join z on j.source is not distinct from z.source
+x as (select source, source_size, target, case when source_size > 0 then least(target / source_size, {cap}.0) else 0 end as rate from t)
+select d.doc_id, d.size, x.source_size, round(x.target, 4) as target,
+  cast(d.size * (floor(x.rate) + case when {draw} < x.rate - floor(x.rate) then 1 else 0 end) as bigint) as taken
+from d join x on d.source is not distinct from x.source
 """
 
 

@@ -11,7 +11,7 @@ scoring reads every whole text once, without a shuffle, and ships only the word
 is bounded by the words of the sample.
 
 Null text: empty.  Empty text: no features, the score of the thresholds alone.  Null grades are not
-learned from; several grades of one id: the highest.  Repeated rows: scored alike, one row each.
+learned from; several grades of one id: the highest; several texts of one id: the least.  Repeated rows: scored alike, one row each.
 Empty tables: an empty result; no graded row: severity 0 for every row.
 """
 
@@ -85,7 +85,7 @@ def _sample(documents: DataFrame, grades: DataFrame, id_col: str, text_col: str,
     pick = lambda rows: rows.orderBy(F.xxhash64("id"), "id").limit(per_side)
     chosen = pick(g.where("grade > 0")).unionAll(pick(g.where("grade <= 0")))  # at most 2 * per_side rows
     docs = documents.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
-    found = docs.join(F.broadcast(chosen), "id").dropDuplicates(["id"])
+    found = docs.join(F.broadcast(chosen), "id").groupBy("id", "grade").agg(F.min("text").alias("text"))
 
     def counted(batches):
         for b in batches:
@@ -105,21 +105,6 @@ def _z_bound(z: dict[bytes, float], min_z: float | None, fdr: float) -> float:
     return math.nextafter(passed[-1], 0) if passed else math.inf
 
 
-def graded(rows: list[tuple[int, dict]], min_z: float | None = None, fdr: float = 0.01) -> list[tuple[int, dict]]:
-    """Split a lone positive grade in two, where labels are binary.
-
-    Grade 2 goes to positive rows that have more occurrences of marker features (over-represented in
-    positive rows) than the median positive row; the others keep grade 1.
-    """
-    scores = _z_scores(rows)
-    bound = _z_bound(scores, min_z, fdr)
-    markers = {w for w, z in scores.items() if z > bound}
-    rate = lambda x: sum(n for w, n in x.items() if w in markers)
-    rates = [rate(x) for g, x in rows if g > 0]
-    middle = float(np.median(rates)) if rates else 0.0
-    return [(2 if g > 0 and rate(x) > middle else min(g, 1), x) for g, x in rows]
-
-
 def _z_scores(rows: list[tuple[int, dict]]) -> dict[bytes, float]:
     n = [max(1, sum(g <= 0 for g, _ in rows)), max(1, sum(g > 0 for g, _ in rows))]
     seen: tuple[Counter, Counter] = (Counter(), Counter())
@@ -134,8 +119,39 @@ def _z_scores(rows: list[tuple[int, dict]]) -> dict[bytes, float]:
     return out
 
 
+def _thresholds(raw: np.ndarray) -> np.ndarray:
+    """Ordered thresholds: the first, then steps up."""
+    return raw[0] + np.r_[0.0, np.cumsum(np.exp(raw[1:]))]
+
+
+def _loss(params: np.ndarray, dot, back, y: np.ndarray, top: int, ridge: float) -> tuple[float, np.ndarray]:
+    """Minus the mean log-likelihood of the cumulative-link model, with the ridge, and its gradient.
+
+    P(y = k) = F(w x - theta_(k-1)) - F(w x - theta_k), F the logistic function, F = 1 below the first grade and 0 above the last.
+    `dot(w)` gives w x of all rows, `back(d)` the sum over rows of d x.
+    """
+    n = len(params) - top
+    w, raw = params[:n], params[n:]
+    theta = _thresholds(raw)
+    above = 1 / (1 + np.exp(-np.clip(dot(w)[:, None] - theta[None, :], -60, 60)))
+    above = np.c_[np.ones(len(y)), above, np.zeros(len(y))]  # P(grade >= 0), ..., P(grade > top)
+    rows = np.arange(len(y))
+    a, b = above[rows, y], above[rows, y + 1]
+    p = np.maximum(a - b, 1e-300)
+    d_eta = -(1 - a - b) / len(y)
+    g_theta = np.zeros(top + 2)
+    np.add.at(g_theta, y, a * (1 - a) / p / len(y))
+    np.add.at(g_theta, y + 1, -b * (1 - b) / p / len(y))
+    g_theta = g_theta[1:-1]
+    g_raw = np.r_[g_theta.sum(), np.cumsum(g_theta[::-1])[::-1][1:] * np.exp(raw[1:])]
+    return float(-np.log(p).mean() + ridge * (w @ w) / 2), np.r_[back(d_eta) + ridge * w, g_raw]
+
+
 def fit_severity(rows: list[tuple[int, dict]], min_z: float | None = None, fdr: float = 0.01, ridge: float = 1e-5, steps: int = 800) -> SeverityModel:
-    """Maximum likelihood of the ordinal model, with a ridge on the weights, by Adam."""
+    """Maximum likelihood of the ordinal model, with a ridge on the weights, by Adam.
+
+    Grades are 0, 1, 2, ...; those features take part that tell the graded from the ungraded rows.
+    """
     top = max((g for g, _ in rows), default=0)
     if top < 1 or all(g > 0 for g, _ in rows):
         return SeverityModel({}, ())
@@ -146,24 +162,16 @@ def fit_severity(rows: list[tuple[int, dict]], min_z: float | None = None, fdr:
     cells = [(i, at[w], math.log1p(n)) for i, (_, counts) in enumerate(rows) for w, n in counts.items() if w in at]
     row, col, x = map(np.array, zip(*cells)) if cells else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
     dot = lambda w: np.bincount(row, x * w[col], len(rows))
-    y = np.maximum([g for g, _ in rows], 0)
-    above = (y[:, None] > np.arange(top)[None, :]).astype(float)
-    # Each of the nested binary decisions adds its likelihood; thresholds keep their order by positive steps.
+    y = np.maximum([g for g, _ in rows], 0).astype(int)
     params = np.zeros(len(words) + top)
     params[len(words)] = 1.0
     m, v = np.zeros_like(params), np.zeros_like(params)
     for step in range(1, steps + 1):
-        w, raw = params[: len(words)], params[len(words) :]
-        theta = raw[0] + np.r_[0.0, np.cumsum(np.exp(raw[1:]))]
-        p = 1 / (1 + np.exp(-np.clip(dot(w)[:, None] - theta[None, :], -60, 60)))
-        d = (p - above) / len(rows)
-        g_theta = -d.sum(0)
-        g_raw = np.r_[g_theta.sum(), np.cumsum(g_theta[::-1])[::-1][1:] * np.exp(raw[1:])]
-        grad = np.r_[np.bincount(col, x * d.sum(1)[row], len(words)) + ridge * w, g_raw]
+        _, grad = _loss(params, dot, lambda d: np.bincount(col, x * d[row], len(words)), y, top, ridge)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
-        params -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
-    w, raw = params[: len(words)], params[len(words) :]
-    theta = raw[0] + np.r_[0.0, np.cumsum(np.exp(raw[1:]))]
+        rate = 0.1 * min(1.0, 2 * (1 - step / (steps + 1)))  # less and less in the second half
+        params -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
+    w, theta = params[: len(words)], _thresholds(params[len(words) :])
     # A row counts as toxic from the probability that parts the training rows best, one half at most.
     p = 1 / (1 + np.exp(-np.clip(dot(w) - theta[0], -60, 60)))
     marks = np.r_[np.unique(p[y > 0]), 0.5]
@@ -174,11 +182,15 @@ def fit_severity(rows: list[tuple[int, dict]], min_z: float | None = None, fdr:
     return SeverityModel({k: float(x) for k, x in zip(words, w)}, tuple(map(float, theta)), float(flag_at))
 
 
-def severity_model(documents: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", grade_col="toxic", sample_per_side=3000, min_z=None, binary_grades=True, fdr=0.01) -> SeverityModel:
-    grades = labels.select(F.col(id_col).alias("id"), F.col(grade_col).cast("long").alias("grade"))
-    rows = _sample(documents, grades, id_col, text_col, sample_per_side)
+def severity_model(documents: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", grade_col="toxic", graver_col: str | None = None, sample_per_side=3000, min_z=None, fdr=0.01) -> SeverityModel:
+    """Grades are the numbers of `grade_col`.  Where that is a yes or no, `graver_col` may tell the graver ones of its ones
+    (0: graver), so that there are two thresholds; the grades never depend on the words they are learned from."""
+    grade = F.col(grade_col).cast("long")
+    if graver_col:
+        grade = grade + F.when((grade > 0) & F.coalesce(F.col(graver_col) == 0, F.lit(False)), 1).otherwise(0)
+    rows = _sample(documents, labels.select(F.col(id_col).alias("id"), grade.alias("grade")), id_col, text_col, sample_per_side)
     rows.sort(key=lambda r: (r[0], sorted(r[1].items())[:50]))
-    return fit_severity(graded(rows, min_z, fdr) if binary_grades else rows, min_z, fdr)
+    return fit_severity(rows, min_z, fdr)
 
 
 def score_severity(documents: DataFrame, model: SeverityModel, id_col="doc_id", text_col="text") -> DataFrame:

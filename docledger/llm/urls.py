@@ -1,6 +1,6 @@
 """URL filters: rules on hosts and paths, held in a Bloom filter cascade.
 
-A rule `host/path` fits a url whose host is the rule's host or one of its subdomains and whose path starts
+A rule without `/` fits its hosts whatever the path.  A rule `host/path` fits a url whose host is the rule's host or one of its subdomains and whose path starts
 with the rule's path; the longest fitting rule decides (ties: the longer host, then block), and a url that no
 rule fits is allowed.  So a url is judged by looking up its candidate keys, every suffix of its host with
 every path prefix as long as some rule's path, among the listed keys.
@@ -123,7 +123,7 @@ class Cascade:
 def build_cascade(listed: DataFrame, universe: DataFrame, bits_per_key: int = 8, max_bytes: int = 64 << 20) -> Cascade:
     """Both have a column `key` of 64-bit hashes; the universe is every key that will be asked for."""
     inside = written(listed.select("key").distinct(), "listed")
-    outside = written(universe.select("key").distinct().join(inside, "key", "left_anti"), "others")
+    outside, first = universe.select("key"), inside
     cascade = Cascade()
     while True:
         count = inside.count()
@@ -138,7 +138,10 @@ def build_cascade(listed: DataFrame, universe: DataFrame, bits_per_key: int = 8,
             for b in batches:
                 yield b.filter(pa.array(last.has(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64))))
 
-        inside, outside = written(outside.mapInArrow(taken, "key long"), "taken"), inside
+        found = outside.mapInArrow(taken, "key long")
+        if len(cascade.levels) == 1:  # the universe is only filtered; what the first level takes is told apart and cleared of the listed keys
+            found = found.distinct().join(first, "key", "left_anti")
+        inside, outside = written(found, "taken"), inside
 
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
@@ -150,7 +153,8 @@ def rule_table(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
 def judge_urls(pages: DataFrame, rules: DataFrame, id_col="page_id", url_col="url", bits_per_key=8, max_bytes=64 << 20) -> DataFrame:
     """id, host, path, rule, verdict; a row for each row.  `rules`: verdict (allow or block), rule."""
     rules = rules.where("rule is not null").withColumn("key", F.xxhash64("rule"))
-    lengths = sorted(r[0] for r in rules.select(F.length("rule") - F.instr("rule", "/") + 1).distinct().collect())
+    at = F.instr("rule", "/")
+    lengths = sorted(r[0] for r in rules.select(F.when(at > 0, F.length("rule") - at + 1).otherwise(0)).distinct().collect())
     urls = pages.select(F.col(id_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     urls = urls.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), lengths))
     universe = urls.select(F.explode("keys").alias("text")).select(F.xxhash64("text").alias("key"))
@@ -164,7 +168,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col="page_id", url_col="ur
         texts = keys.values.to_pylist()
         rows = []
         for start, end in zip(ends[:-1], ends[1:]):
-            fits = [(len(texts[i]), texts[i].index("/"), blocks[i], i) for i in range(start, end) if blocks[i] or allows[i]]
+            fits = [(len(texts[i]), (texts[i] + "/").index("/"), blocks[i], i) for i in range(start, end) if blocks[i] or allows[i]]
             best = max(fits, default=None)
             rows.append((texts[best[3]], "block" if best[2] else "allow") if best else (None, "allow"))
         return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], ["rule", "verdict"])
