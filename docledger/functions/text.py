@@ -6,6 +6,7 @@ run only on blocked pairs.  Null in, null out unless a function says otherwise.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from difflib import SequenceMatcher
 
@@ -17,23 +18,56 @@ from pyspark.sql import types as T
 from docledger.functions import fixed
 
 
-def _accents() -> tuple[str, str]:
-    """Letters of the Latin blocks that decompose into one base letter, with it; then the combining marks."""
-    pairs = []
-    for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
-        base = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c))
-        if len(base) == 1 and base != chr(code):
-            pairs.append((chr(code), base))
-    marks = "".join(map(chr, range(0x300, 0x370)))
-    return "".join(a for a, _ in pairs) + marks, "".join(b for _, b in pairs)
+def _decomposed() -> tuple[str, str, dict[str, str]]:
+    """Characters with a compatibility form: those of one character with it, combining marks, and those of several.
+
+    Syllables of Hangul, which are composed by a rule, are left as they are.
+    """
+    single, several, marks = [], {}, []
+    for code in range(0x80, 0x10000):
+        if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF:
+            continue
+        plain = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c))
+        if not plain:
+            marks.append(chr(code))
+        elif plain != chr(code):
+            single.append((chr(code), plain)) if len(plain) == 1 else several.update({chr(code): plain})
+    return "".join(a for a, _ in single) + "".join(marks), "".join(b for _, b in single), several
+
+
+_SINGLE, _PLAIN, _SEVERAL = _decomposed()
+_ELLIPSIS = "\u2026"  # the only one that is common
 
 
-_ACCENTED, _PLAIN = _accents()
+def _ranges(characters) -> str:
+    """A class of the characters as few ranges, as a search tries them one after another."""
+    out: list[list[int]] = []
+    for code in sorted(map(ord, characters)):
+        if out and code == out[-1][1] + 1:
+            out[-1][1] = code
+        else:
+            out.append([code, code])
+    return "[" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in out) + "]"
+
+
+#: Letters and signs of usual texts beyond ASCII, none of which is spelled out; what has others is searched for such.
+_USUAL = "".join(chr(c) for c in [*range(0x80, 0x132), *range(0x2010, 0x2028), 0x20AC] if chr(c) not in _SEVERAL)
+_SEVERAL_CLASS = _ranges(set(_SEVERAL) - {_ELLIPSIS})
 
 
 def fold(text: Column) -> Column:
-    """Without accents, upper case."""
-    return F.upper(F.translate(text, _ACCENTED, _PLAIN))
+    """In compatibility form without accents, upper case."""
+    table = F.from_json(F.lit(json.dumps(_SEVERAL)), "map<string,string>")  # folded into a constant; read for rare texts only
+    plain = F.replace(text, F.lit(_ELLIPSIS), F.lit("..."))
+    rest = F.translate(plain, _USUAL, "")
+    letters = F.regexp_extract_all(plain, F.lit("(?s)(.)"), F.lit(1))
+    spelled = F.array_join(F.transform(letters, lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    return F.upper(F.translate(F.when((F.octet_length(rest) > F.length(rest)) & plain.rlike(_SEVERAL_CLASS), spelled).otherwise(plain), _SINGLE, _PLAIN))
+
+
+def folded(text: str) -> str:
+    """`fold` of one string on the driver, as of a search term."""
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).upper()
 
 
 def clean_space(text: Column) -> Column:
@@ -177,7 +211,9 @@ def normalize_name(text: Column) -> Column:
 
 @F.arrow_udf(T.DoubleType())
 def _ratio(left: pa.Array, right: pa.Array) -> pa.Array:
-    return pa.array([SequenceMatcher(None, a, b).ratio() for a, b in zip(left.to_pylist(), right.to_pylist())], pa.float64())
+    pairs = list(zip(left.to_pylist(), right.to_pylist()))
+    known = {p: SequenceMatcher(None, *p).ratio() for p in set(pairs)}  # names recur
+    return pa.array([known[p] for p in pairs], pa.float64())
 
 
 def word_overlap(left: Column, right: Column) -> Column:

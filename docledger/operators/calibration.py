@@ -48,7 +48,7 @@ def upright_conclusive(readings: DataFrame) -> DataFrame:
 
 def region_text(words: DataFrame, regions: DataFrame) -> DataFrame:
     """page_id, field_id, raw, confidence: words whose centre lies in a region, in reading order."""
-    inside = words.join(F.broadcast(regions), "page_id") if regions.isLocal() else words.join(regions, "page_id")
+    inside = words.join(regions, "page_id")
     inside = inside.where(fields.centre_inside(F.col("box"), F.col("region")))
     ordered = F.array_sort(F.collect_list(F.struct("ordinal", "text")))
     return inside.groupBy("page_id", "field_id").agg(F.array_join(F.transform(ordered, lambda s: s["text"]), " ").alias("raw"), F.avg("confidence").alias("confidence"))
@@ -62,6 +62,30 @@ def field_records(readings: DataFrame) -> DataFrame:
     return readings.withColumns({"normalized": value, "error_type": error, "exact": error == "sin_error", "validators": issues, "requires_review": F.size(issues) > 0})
 
 
+def total_control(readings: DataFrame, constraints: DataFrame, second: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(controls, readings): whether a total is the sum of two parts in each profile, and the readings marked where it isn't.
+
+    readings: profile, field_id, raw, validators, requires_review; constraints: total_field, first_field (a few fixed rows);
+    second: profile, total_field, value of the part that is no field itself.  `consistent` is null where a number is unreadable.
+    """
+    few = F.broadcast(constraints.limit(1000))  # written by hand; more rows than that are no such table
+    side = lambda n: readings.select("profile", F.col("field_id").alias(f"{n}_field"), F.col("raw").alias(n))
+    rows = side("first").join(few, "first_field").join(side("total"), ["profile", "total_field"]).join(second, ["profile", "total_field"], "left")
+    controls = rows.withColumn("consistent", fields.check_total(F.col("total"), F.array("first", "value"))).withColumnRenamed("value", "second")
+    wrong = controls.where(~F.col("consistent")).select("profile", F.explode(F.array("total_field", "first_field")).alias("field_id")).distinct()
+    marked = readings.join(wrong.withColumn("off", F.lit(True)), ["profile", "field_id"], "left")
+    off = F.coalesce("off", F.lit(False))
+    told = F.when(off, F.array_append("validators", F.lit("total_inconsistente_control_parcial"))).otherwise(F.col("validators"))
+    return controls, marked.withColumns({"validators": told, "requires_review": F.col("requires_review") | off}).drop("off")
+
+
+def chosen_reading(page: DataFrame, crop: DataFrame) -> DataFrame:
+    """Of each field, the page's reading where it scores more than the crop's, else the crop's (field_id, raw, score)."""
+    both = crop.join(page.select("field_id", F.struct("raw", "score").alias("p")), "field_id", "full")
+    better = F.coalesce(F.col("p.score") > F.col("score"), F.col("p").isNotNull() & F.col("score").isNull())
+    return both.select("field_id", F.when(better, F.col("p.raw")).otherwise(F.col("raw")).alias("raw"), F.when(better, "page").otherwise("crop").alias("source"))
+
+
 def profile_accuracy(records: DataFrame, baseline: str) -> DataFrame:
     """Accuracy of each profile, in all and by kind (null: all), unnoticed errors, and the change against a baseline."""
     wrong = ~F.col("exact")

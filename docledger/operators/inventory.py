@@ -10,13 +10,48 @@ SUCCESS = ["completed", "already_completed"]
 FAILURES = ["failed", "encrypted", "signed", "validation_failed"]
 
 
+#: What a result is known by; carried on when the file has changed, so that it can be replaced.
+RESULT = ["result_path", "result_hash", "text_path", "text_hash"]
+
+
 def inventory(files: DataFrame, state: DataFrame) -> DataFrame:
-    """Files (path, size, hash) with their earlier state: kept where the hash is equal (an interrupted
-    `processing` starts again), else pending."""
-    old = state.select("path", F.col("hash").alias("old_hash"), F.col("status").alias("old_status"))
+    """Files (path, size, hash, and pages if counted) with their earlier state.
+
+    Kept where the hash is equal (an interrupted `processing` starts again), else pending.  What the state tells of a
+    result is carried on in either case.
+    """
+    carried = [c for c in RESULT if c in state.columns]
+    old = state.select("path", F.col("hash").alias("old_hash"), F.col("status").alias("old_status"), *carried)
     same = F.coalesce(F.col("old_hash") == F.col("hash"), F.lit(False))
     status = F.when(same & (F.col("old_status") != "processing"), F.col("old_status")).otherwise("pending")
-    return files.join(old, "path", "left").select(F.sha2(F.col("path"), 256).alias("id"), "path", "size", "hash", status.alias("status"), (F.col("old_hash").isNotNull() & ~same).alias("changed"))
+    more = ["pages"] * ("pages" in files.columns)
+    out = files.join(old, "path", "left")
+    return out.select(F.sha2(F.col("path"), 256).alias("id"), "path", "size", "hash", *more, status.alias("status"), (F.col("old_hash").isNotNull() & ~same).alias("changed"), *carried)
+
+
+def reusable(rows: DataFrame, results: DataFrame, with_text: bool = True) -> DataFrame:
+    """The rows with `reusable`: whether the result that the state tells of is there, whole and of as many pages.
+
+    rows: pages, result_path, result_hash, text_path, text_hash; results: path, hash, pages (null for a text) of files as they are.
+    """
+    now = lambda p: results.select(F.col("path").alias(f"{p}_path"), F.col("hash").alias(f"{p}_now"), F.col("pages").alias(f"{p}_pages"))
+    good = (F.col("result_hash") == F.col("result_now")) & (F.col("pages") == F.col("result_pages"))
+    out = rows.join(now("result"), "result_path", "left")
+    if with_text:
+        out = out.join(now("text"), "text_path", "left")
+        good = good & (F.col("text_hash") == F.col("text_now"))
+    return out.withColumn("reusable", F.coalesce(good, F.lit(False))).select(*rows.columns, "reusable")
+
+
+def take_up(rows: DataFrame, only_failed: bool = False, retry: bool = False) -> DataFrame:
+    """The rows with `action` of a batch run: skip, already_completed, keep_error, or run.
+
+    rows: status, previous (the status before this inventory, null if new), reusable.
+    """
+    failed, done = F.col("status").isin(*FAILURES), F.col("status").isin(*SUCCESS)
+    skipped = ~F.coalesce(F.col("previous").isin(*FAILURES), F.lit(False)) if only_failed else F.lit(False)
+    left = failed if not (retry or only_failed) else F.lit(False)
+    return rows.withColumn("action", F.when(skipped, "skip").when(done & F.col("reusable"), "already_completed").when(left, "keep_error").otherwise("run"))
 
 
 def actions(documents: DataFrame, catalog: DataFrame, version: int) -> DataFrame:
@@ -36,8 +71,9 @@ def pending(rows: DataFrame, only_failed: bool = False, retry: bool = False) ->
 
 
 def latest(rows: DataFrame, key: list[str], order: str) -> DataFrame:
-    """Upsert by the latest row of each key."""
-    w = Window.partitionBy(*key).orderBy(F.desc(order))
+    """Upsert by the latest row of each key; of equally late ones, the last by all other columns."""
+    rest = [F.col(c).desc_nulls_last() for c in rows.columns if c not in (*key, order)]
+    w = Window.partitionBy(*key).orderBy(F.desc(order), *rest)
     return rows.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from docledger.functions import fixed
 from docledger.functions import text as x
 from docledger.operators.components import components
+from docledger.storage import written
 
 MARGIN, ACCEPT, EMIT = 10, 75, 55
 
@@ -184,14 +185,16 @@ def cases(records: DataFrame, final: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def reconcile(records: DataFrame, similarity=x.name_similarity) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(cases, links, case_records) of all records."""
-    rows = prepared(records)
+    """(cases, links, case_records) of all records.
+
+    What several steps read is written once: the records, the decisions inside documents, those of the bank step, and the roots.
+    """
+    rows = written(prepared(records), "prepared")
     candidates = policy_cheque(rows, similarity).unionByName(cheque_transfer(rows)).unionByName(policy_transfer(rows))
-    inside = choose(candidates)
+    inside = written(choose(candidates), "inside")
     rooted = roots(rows, inside.where("taken"))
-    matched = bank_matches(rows, rooted, similarity)
-    decided = inside.unionByName(matched)
-    final = roots(rows, decided.where("taken"))
+    decided = written(inside.unionByName(bank_matches(rows, rooted, similarity)), "decided")
+    final = written(roots(rows, decided.where("taken")), "roots")
     links = link_rows(decided)
     found = cases(rows, final, links)
     return found.drop("root"), links, final.join(found.select("root", "case_id"), "root").select("case_id", "record_key")

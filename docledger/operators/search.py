@@ -15,7 +15,7 @@ def token_index(pages: DataFrame) -> DataFrame:
 
 
 def match(index: DataFrame, terms: list[str]) -> DataFrame:
-    """document_id, page_number, hits: pages that hold all the terms."""
-    wanted = sorted({t for t in terms})
-    found = index.where(F.col("token").isin([w.upper() for w in wanted])).groupBy("document_id", "page_number").agg(F.count(F.lit(1)).alias("found"), F.sum("tf").alias("hits"))
+    """document_id, page_number, hits: pages that hold all the terms, in any case and with or without accents."""
+    wanted = sorted({x.folded(t) for t in terms})
+    found = index.where(F.col("token").isin(wanted)).groupBy("document_id", "page_number").agg(F.count(F.lit(1)).alias("found"), F.sum("tf").alias("hits"))
     return found.where(F.col("found") == len(wanted)).select("document_id", "page_number", "hits")

@@ -17,6 +17,7 @@ from docledger.operators import calibration, catalog, crossref, extract, invento
 from docledger.operators.components import components
 from docledger.plans import fixtures as fx
 from docledger.plans.fixtures import read
+from docledger.storage import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -277,7 +278,7 @@ def _links(links: DataFrame) -> DataFrame:
 def _ledger_decided(spark, sf_dir, round_to=None):
     rows = linkage.prepared(fx.ledger(spark, sf_dir, round_to))
     candidates = linkage.policy_cheque(rows, x.word_overlap).unionByName(linkage.cheque_transfer(rows)).unionByName(linkage.policy_transfer(rows))
-    return rows, linkage.choose(candidates)
+    return rows, written(linkage.choose(candidates), "inside")
 
 
 @query(f"with {links_sql()} select {LINK_COLUMNS} from dec where score >= 55")
@@ -616,3 +617,6 @@ def q_sheet_source(spark, sf_dir):
     path = save_bytes(spark, book.getvalue(), "pagos.xlsx")
     rows, total = sheet.payment_rows(sheet.read_sheets(spark, path))
     return rows.crossJoin(total)  # one total row
+
+
+from docledger.plans import reports  # noqa: E402, F401  adds its queries to the catalogue
