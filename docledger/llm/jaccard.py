@@ -25,22 +25,29 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docledger.llm.shared import WordHashes, text_bytes, written
+from docledger.llm.shared import text_bytes, tokenised, written
 from docledger.operators.components import components
 
 #: Minhashes of a signature; at a byte each a signature is one 64-bit number.
 DEPTH = 8
 
 
-def shingles(words: list[bytes], hashes: WordHashes, n: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word n-grams."""
-    if not words:
+def word_hashes(texts: pa.Array) -> list[np.ndarray]:
+    """The 64-bit hashes of the words of each text (UTF-8), in turn."""
+    words, codes, counts = tokenised(texts)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))[codes]
+    return np.split(hashes, np.cumsum(counts)[:-1]) if len(counts) else []
+
+
+def shingles(h: np.ndarray, n: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the n-grams of words, the words given by their hashes."""
+    if not len(h):
         return np.zeros(0, np.uint64)
-    h = hashes.of(words)
     n = min(n, len(h))
     x = np.zeros(len(h) - n + 1, np.uint64)
     for i in range(n):
@@ -101,18 +108,18 @@ def signed(documents: DataFrame, n: int, trees: int, id_col: str, text_col: str)
     mult, add = _seeds(trees * DEPTH)
 
     def sign(batches):
-        hashes = WordHashes()
-        for b in batches:
-            keys, sizes, found = [], [], []
-            for t in b.column(2).to_pylist():
-                words = t.lower().split()
-                x = shingles(words, hashes, n)
-                keys.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None)
-                sizes.append(len(x))
-                found.append(signatures(minhashes(x, mult, add)) if len(x) else np.zeros(0, np.int64))
-            ends = np.r_[0, np.cumsum([len(p) for p in found])].astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *found]), pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), lists], ["doc_id", "mark", "key", "size", "signatures"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                b = whole.slice(start, 500)
+                keys, sizes, found = [], [], [np.zeros(0, np.int64)]
+                for h in word_hashes(b.column(2)):
+                    x = shingles(h, n)
+                    keys.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
+                    sizes.append(len(x))
+                    found.append(signatures(minhashes(x, mult, add)) if len(x) else found[0])
+                ends = np.cumsum([len(p) for p in found]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found), pa.int64()))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), lists], ["doc_id", "mark", "key", "size", "signatures"])
 
     docs = documents.select(F.col(id_col), F.xxhash64(text_bytes(text_col)).alias("mark"), text_bytes(text_col))
     return docs.mapInArrow(sign, f"doc_id {kind}, mark long, key binary, size int, signatures array<long>")
@@ -196,15 +203,16 @@ def verified(candidates: DataFrame, n: int, threshold: float) -> DataFrame:
 
     def verify(table: pa.Table) -> pa.Table:
         out: list[tuple] = []
-        hashes = WordHashes()
-        rows = sorted(table.to_pylist(), key=lambda r: (r["cluster"], r["side"], r["node"]))
+        table = table.sort_by([("cluster", "ascending"), ("side", "ascending"), ("node", "ascending")]).combine_chunks()
+        texts, rows = table["text"], table.drop_columns(["text"]).to_pylist()
         start = 0
         while start < len(rows):
             end = start
             while end < len(rows) and rows[end]["cluster"] == rows[start]["cluster"]:
                 end += 1
-            part, start = rows[start:end], end
-            sets = [shingles(r["text"].lower().split(), hashes, n) for r in part]
+            part = rows[start:end]
+            sets = [shingles(h, n) for h in word_hashes(texts.slice(start, end - start).combine_chunks())]
+            start = end
             copies = np.array([r["copies"] for r in part], np.int64)
             cut = next((i for i, r in enumerate(part) if r["side"] != part[0]["side"]), len(part))
             near = np.zeros((len(part), len(part)), bool)

@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docledger.llm.shared import fold_of, mixed, text_bytes, written_in_buckets
+from docledger.llm.shared import fold_of, mixed, text_bytes, tokenised, written_in_buckets
 
 #: Not the hash of any word, as words hold no white space.
 END = np.uint64(0x5DEECE66D1234567)
@@ -73,21 +73,6 @@ def _expanded(b: bytes) -> np.ndarray:
 # ---- bundles ---------------------------------------------------------------------------------------------------
 
 
-def tokenised(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The distinct words, the number of each text's words among them in turn, and the texts' word counts."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string(), safe=False)))
-    coded = lists.flatten().dictionary_encode()
-    words = coded.dictionary.cast(pa.binary()).to_pylist()
-    codes = coded.indices.to_numpy().astype(np.int32)
-    text = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
-    if b"" in words:  # what Arrow makes of white space at an end
-        empty = words.index(b"")
-        words.pop(empty)
-        text, codes = text[codes != empty], codes[codes != empty]
-        codes -= codes > empty
-    return words, codes, np.bincount(text, minlength=len(lists))
-
-
 def _halves(table: pa.Table) -> list[pa.Table]:
     size = np.cumsum(pc.binary_length(table["text"]).to_numpy())
     cut = int(np.searchsorted(size, size[-1] / 2)) + 1

@@ -88,16 +88,18 @@ def pattern_counts(documents: DataFrame, text_col="text") -> dict[int, int]:
     return {r.pattern: r["count"] for r in rows}
 
 
-def fit_label_model(counts: dict[int, int], rounds: int = 500, strength: float = 4.0, accuracy: float = 0.75) -> dict[int, float]:
+def fit_label_model(counts: dict[int, int], rounds: int = 500, share: float = 0.005, least: float = 4.0, accuracy: float = 0.75) -> dict[int, float]:
     """Posterior probability of good, by vote pattern.
 
     A rule that votes is right with a probability of its own in each class; one that abstains says
-    nothing.  The prior is `strength` pseudo-votes of that `accuracy` for every rule in either class, and as many
-    pseudo-texts, half of them good: it keeps rules that never vote well defined.
+    nothing.  The prior is pseudo-votes of that `accuracy` for every rule in either class, and as many pseudo-texts,
+    half of them good.  Their number is `share` of the texts (`least` at least), so that they weigh alike whatever the size
+    of the corpus: where there are no bad texts, the second class stays what the prior says instead of fitting to some
+    usual trait of good ones, as being short.
     """
     if not counts:
         return {}
-    patterns = sorted(counts)
+    patterns, strength = sorted(counts), max(least, share * sum(counts.values()))
     v = np.array([decoded(p) for p in patterns])
     n = np.array([counts[p] for p in patterns], float)
     says_bad, says_good = (v == -1).astype(float), (v == 1).astype(float)

@@ -213,6 +213,15 @@ def test_rules_em_finds_the_bad_group():
     assert rules.fit_label_model({}) == {} and rules.fit_label_model({all_good: 5})[all_good] > 0.5
 
 
+def test_rules_em_invents_no_bad_class():
+    """Texts of which none is bad, but many are short, and the short ones vary more in the rest: none is rejected, at any size."""
+    code = lambda **v: rules.encoded(tuple(v.get(f"r{j}", 1) for j in range(rules.N_RULES)))
+    counts = {code(): 30000, code(r7=0): 5400, code(r3=-1): 1200, code(r0=0): 1100, code(r0=-1): 970, code(r0=0, r7=0): 680, code(r0=-1, r7=0): 640, code(r0=-1, r7=-1): 45, code(r0=-1, r6=0): 200, code(r8=0): 300}
+    for times in (1, 5, 1000):
+        post = rules.fit_label_model({k: n * times for k, n in counts.items()})
+        assert sum(n for k, n in counts.items() if post[k] < 0.5) <= 45
+
+
 def test_rules_beat_all_must_pass(spark):
     """The posterior parts from the filter that every rule must pass, and agrees better with the labels."""
     sf = "/root/testdata/sf0.1"
