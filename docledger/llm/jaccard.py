@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docledger.llm.shared import text_bytes, tokenised, written
+from docledger.llm.shared import give_back, text_bytes, tokenised, written
 from docledger.operators.components import components
 
 #: Minhashes of a signature; at a byte each a signature is one 64-bit number.
@@ -120,6 +120,7 @@ def signed(documents: DataFrame, n: int, trees: int, id_col: str, text_col: str)
                 ends = np.cumsum([len(p) for p in found]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found), pa.int64()))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), lists], ["doc_id", "mark", "key", "size", "signatures"])
+        give_back()
 
     docs = documents.select(F.col(id_col), F.xxhash64(text_bytes(text_col)).alias("mark"), text_bytes(text_col))
     return docs.mapInArrow(sign, f"doc_id {kind}, mark long, key binary, size int, signatures array<long>")
@@ -225,6 +226,7 @@ def verified(candidates: DataFrame, n: int, threshold: float) -> DataFrame:
             links, roots = near @ copies, _roots(near | np.eye(len(part), dtype=bool))
             out += [(r["node"], int(k), part[i]["node"]) for r, k, i in zip(part, links, roots)]
         cols = list(zip(*out)) or [(), (), ()]
+        give_back()
         return pa.table({name: pa.array(col, pa.int64()) for name, col in zip(("node", "links", "root"), cols)})
 
     return candidates.groupBy("task").applyInArrow(verify, "node long, links long, root long")

@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docledger.llm.shared import fold_of, mixed, text_bytes, tokenised, written_in_buckets
+from docledger.llm.shared import fold_of, give_back, mixed, text_bytes, tokenised, written_in_buckets
 
 #: Not the hash of any word, as words hold no white space.
 END = np.uint64(0x5DEECE66D1234567)
@@ -117,6 +117,7 @@ def bundles(texts: DataFrame, bundle_chars: int, buckets: int) -> DataFrame:
             rest = _halves(pa.concat_tables(rest).combine_chunks())
         for table in rest:
             yield _bundle_row(table.combine_chunks(), number := number + 1)
+        give_back()
 
     return written_in_buckets(texts.mapInArrow(pack, _BUNDLES), "bundles", "bundle", buckets)
 
@@ -324,6 +325,7 @@ def score_corpus(documents: DataFrame, id_col="doc_id", text_col="text", folds=7
                     out.append((_squeezed(np.diff(keys[at], prepend=np.uint64(deal.begin(t)))), _squeezed(counts[at])))
                 kinds = [pa.array(range(deal.targets), pa.int32()), pa.array(b.column("bundle").slice(row, 1).to_pylist() * deal.targets, pa.int64())]
                 yield pa.RecordBatch.from_arrays([*kinds, pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())], ["target", "bundle", "keys", "counts"])
+        give_back()
 
     def total(table: pa.Table) -> pa.Table:
         target = table["target"][0].as_py()

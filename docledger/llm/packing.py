@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docledger.llm.shared import written
+from docledger.llm.shared import give_back, written
 
 _loaded: dict = {}
 
@@ -172,9 +172,9 @@ def tokenized(documents: DataFrame, tokenizer: str, length: int, id_col="doc_id"
     def cut(batches):
         ids, salt = _ids(tokenizer), 0
         for b in batches:
-            for at in range(0, b.num_rows, 2500):
+            for at in range(0, b.num_rows, 1500):
                 rows: list[tuple] = []
-                for key, blob in zip(b.column(0).slice(at, 2500).to_pylist(), ids.of(b.column(1).slice(at, 2500))):
+                for key, blob in zip(b.column(0).slice(at, 1500).to_pylist(), ids.of(b.column(1).slice(at, 1500))):
                     blob += b"\0\0\0\0"
                     for piece, start in enumerate(range(0, len(blob), 4 * length)):
                         part = blob[start : start + 4 * length]
@@ -183,6 +183,7 @@ def tokenized(documents: DataFrame, tokenizer: str, length: int, id_col="doc_id"
                 kinds[0] = b.schema.field(0).type
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(len(names))], names)
         ids.old = {}  # a worker between tasks holds one generation only
+        give_back()
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, salt long" + ", ids binary" * with_ids
     return documents.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).mapInArrow(cut, schema)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docledger.llm.shared import fold_of, text_bytes
+from docledger.llm.shared import each, fold_of, give_back, text_bytes
 from docledger.llm.textstats import text_stats
 
 
@@ -94,13 +94,15 @@ def quality_model(documents: DataFrame, labels: DataFrame, id_col="doc_id", text
 
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
 def statistics(text: pa.Array) -> pa.Array:
-    return pa.array([features(t) for t in text.to_pylist()], pa.list_(pa.float64()))
+    return pa.array([features(t) for t in each(text)], pa.list_(pa.float64()))
 
 
 def score_column(model: QuadraticModel, text_col: str = "text"):
     @F.arrow_udf(T.DoubleType())
     def scored(text: pa.Array) -> pa.Array:
-        return pa.array(model.score(np.array([features(t) for t in text.to_pylist()], float).reshape(len(text), -1)), pa.float64())
+        x = np.array([features(t) for t in each(text)], float).reshape(len(text), -1)
+        give_back()
+        return pa.array(model.score(x), pa.float64())
 
     return scored(text_bytes(text_col))
 

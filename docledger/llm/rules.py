@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docledger.llm.shared import text_bytes
+from docledger.llm.shared import each, give_back, text_bytes
 from docledger.llm.textstats import TextStats, text_stats
 
 
@@ -80,7 +80,9 @@ def pattern(s: TextStats) -> int:
 
 @F.arrow_udf(T.IntegerType())
 def vote_pattern(text: pa.Array) -> pa.Array:
-    return pa.array([pattern(text_stats(t)) for t in text.to_pylist()], pa.int32())
+    out = pa.array([pattern(text_stats(t)) for t in each(text)], pa.int32())
+    give_back()
+    return out
 
 
 def pattern_counts(documents: DataFrame, text_col="text") -> dict[int, int]:
@@ -129,10 +131,11 @@ def verdicts(posterior: dict[int, float], threshold: float):
     @F.arrow_udf(f"struct<{_FIELDS}>")
     def judged(text: pa.Array) -> pa.Array:
         rows = []
-        for t in text.to_pylist():
+        for t in each(text):
             s = text_stats(t)
             failed, p = base_failed(s), posterior.get(pattern(s), 0.0)
             rows.append((*s[:5], failed, not failed and p >= threshold, p))
+        give_back()
         return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
     return judged

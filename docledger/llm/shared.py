@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -39,6 +42,20 @@ def tokenised(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return words, codes, np.bincount(text, minlength=len(lists))
 
 
+def each(texts: pa.Array, at_once: int = 500) -> Iterator[bytes]:
+    """The values of a long array, a few at a time as Python objects."""
+    for start in range(0, len(texts), at_once):
+        yield from texts.slice(start, at_once).to_pylist()
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system: a worker waits between tasks, while others need it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of some C libraries
+    if trim:
+        trim(0)
+
+
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """An order-sensitive 64-bit mix of two arrays of hashes."""
     x = a * np.uint64(0x9E3779B97F4A7C15) + b

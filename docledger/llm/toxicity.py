@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docledger.llm.shared import text_bytes
+from docledger.llm.shared import each, give_back, text_bytes
 
 #: Lower-case A-Z, and every other ASCII character that is no digit or letter is white space.
 _TABLE = bytes(c if c > 127 or chr(c).isdigit() or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -199,7 +199,8 @@ def score_severity(documents: DataFrame, model: SeverityModel, id_col="doc_id",
     @F.arrow_udf("struct<expected_severity: double, p_toxic: double>")
     def scored(text: pa.Array) -> pa.Array:
         hits = _Hits(model.weights)
-        both = [model.score(t, hits) for t in text.to_pylist()]
+        both = [model.score(t, hits) for t in each(text)]
+        give_back()
         return pa.StructArray.from_arrays([pa.array([b[i] for b in both], pa.float64()) for i in (0, 1)], ["expected_severity", "p_toxic"])
 
     return documents.select(F.col(id_col), scored(text_bytes(text_col)).alias("s")).select(id_col, "s.expected_severity", "s.p_toxic", (F.col("s.p_toxic") >= model.flag_at).alias("toxic"))
