@@ -59,27 +59,27 @@ class _Whole:
     """The ids of whole texts, by any tokenizer."""
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.old = tokenizer, {}
+        self.tokenizer = tokenizer
 
     def of(self, texts: pa.Array) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
 
 
 class _Ids:
-    """A run of non-space characters -> its ids as little-endian 32-bit numbers, remembered up to a bound.
+    """A run of non-space characters -> its ids as little-endian 32-bit numbers; runs that recur are remembered up to a bound.
 
     The tokenizer drops white space, lower-cases, and merges within runs of letters, so a text's ids are its
     runs' ids in turn, in either case, and punctuation behind a Latin letter stands for itself.
-    New runs of letters are encoded many at a time and parted behind the ids that end a word.
+    New runs of letters are encoded many at a time and parted behind the ids that end a word.  Most runs of a
+    large text table occur once, so only those that a batch has twice are remembered.
     """
 
     #: ASCII characters that are no letter, digit, space, apostrophe or part of a special token.
     TAIL = b"!\"#$%&()*+,-./:;=?@[]^_`{}~"
 
-    def __init__(self, tokenizer, bound: int = 320_000):
+    def __init__(self, tokenizer, bound: int = 150_000):
         self.tokenizer, self.bound = tokenizer, bound
-        self.now: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
         vocabulary = tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -90,12 +90,15 @@ class _Ids:
         lists = pc.ascii_split_whitespace(plain)
         coded = lists.flatten().dictionary_encode()
         runs = coded.dictionary.cast(pa.binary()).to_pylist()
-        self._learn(runs)
-        get = self.now.__getitem__
-        known = [get(r) for r in runs]
-        sizes = np.fromiter(map(len, known), np.int32, len(known)) // 4
-        ids = np.frombuffer(b"".join(known), "<u4")
         which = coded.indices.to_numpy(zero_copy_only=False)
+        fresh = self._learned(runs)
+        ids_of = [fresh[r] if r in fresh else self.known[r] for r in runs]
+        if len(self.known) > self.bound:
+            self.known = {}
+        again = np.bincount(which, minlength=len(runs)) > 1
+        self.known.update((r, fresh[r]) for r, more in zip(runs, again.tolist()) if more and r in fresh)
+        sizes = np.fromiter(map(len, ids_of), np.int32, len(ids_of)) // 4
+        ids = np.frombuffer(b"".join(ids_of), "<u4")
         n = sizes[which]
         kind = np.int32 if texts.nbytes < 2**29 else np.int64  # a text has no more ids than four a byte
         ends = np.cumsum(n, dtype=kind)
@@ -104,17 +107,12 @@ class _Ids:
         at = np.r_[0, ends][lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         return [line[i:j].tobytes() for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
 
-    def _learn(self, runs: list[bytes]) -> None:
-        now, old = self.now, self.old
-        if len(now) + len(runs) > self.bound:
-            self.now, self.old = now, old = {}, now
-        now[b""] = b""  # what Arrow makes of white space at an end
+    def _learned(self, runs: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of the runs that aren't remembered, and of what they are made of."""
+        known, fresh = self.known, {b"": b""}  # the empty run is what Arrow makes of white space at an end
         new, closed = set(), []
         for run in runs:
-            if run in now:
-                continue
-            if run in old:
-                now[run] = old[run]
+            if run in known:
                 continue
             core = run.rstrip(self.TAIL)
             if len(core) < len(run) and core[-1:].isalpha():
@@ -123,11 +121,13 @@ class _Ids:
                 new.add(closed[-1][2])
             else:
                 new.add(run)
-        self._encode([r for r in new if r not in now])
+        new.discard(b"")
+        self._encode([r for r in new if r not in known], fresh)
         for run, core, tail in closed:
-            now[run] = now[core] + now[tail]
+            fresh[run] = (known[core] if core in known else fresh[core]) + (known[tail] if tail in known else fresh[tail])
+        return fresh
 
-    def _encode(self, new: list[bytes]) -> None:
+    def _encode(self, new: list[bytes], fresh: dict[bytes, bytes]) -> None:
         texts = [r.decode("utf-8", "replace") for r in new]
         # NFC may join letters only within a run, so runs of letters may share one call.
         words = [i for i, t in enumerate(texts) if t.isalpha()]
@@ -136,18 +136,19 @@ class _Ids:
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in part])], add_special_tokens=False)[0].ids, "<u4")
             cut = np.flatnonzero(self.ends[ids]) + 1
             if len(cut) != len(part):  # a letter of no letter class in the tokenizer's tables: one by one
-                self._each([new[i] for i in part], [texts[i] for i in part])
+                self._each([new[i] for i in part], [texts[i] for i in part], fresh)
                 continue
             blob, begin = ids.tobytes(), 0
             for i, end in zip(part, (cut * 4).tolist()):
-                self.now[new[i]] = blob[begin:end]
+                fresh[new[i]] = blob[begin:end]
                 begin = end
         others = [i for i, t in enumerate(texts) if not t.isalpha()]
-        self._each([new[i] for i in others], [texts[i] for i in others])
+        self._each([new[i] for i in others], [texts[i] for i in others], fresh)
 
-    def _each(self, runs: list[bytes], texts: list[str]) -> None:
-        for run, e in zip(runs, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            self.now[run] = np.array(e.ids, "<u4").tobytes()
+    def _each(self, runs: list[bytes], texts: list[str], fresh: dict[bytes, bytes]) -> None:
+        for start in range(0, len(runs), 2000):
+            for run, e in zip(runs[start : start + 2000], self.tokenizer.encode_batch_fast(texts[start : start + 2000], add_special_tokens=False)):
+                fresh[run] = np.array(e.ids, "<u4").tobytes()
 
 
 def _ids(path: str) -> _Ids | _Whole:
@@ -179,10 +180,9 @@ def tokenized(documents: DataFrame, tokenizer: str, length: int, id_col="doc_id"
                     for piece, start in enumerate(range(0, len(blob), 4 * length)):
                         part = blob[start : start + 4 * length]
                         salt += 1
-                        rows.append((key, piece, start // 4, len(part) // 4, zlib.crc32(part), salt, part))
+                        rows.append((key, piece, start // 4, len(part) // 4, zlib.crc32(part), salt, part if with_ids else None))
                 kinds[0] = b.schema.field(0).type
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(len(names))], names)
-        ids.old = {}  # a worker between tasks holds one generation only
         give_back()
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, salt long" + ", ids binary" * with_ids
