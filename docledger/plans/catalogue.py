@@ -155,19 +155,6 @@ def q_amount_parse(spark, sf_dir):
 # ---- extraction ----------------------------------------------------------------------------------------------
 
 
-@query(f"""with o as (select * from {ORDERS} where k % 4 <> 3),
-  e as (select k, 'importe' as entity_type, cast(amount as varchar) as normalized_value, case k % 4 when 0 then 'neto del recibo' when 1 then 'importe mencionado' else 'importe total' end as label from o
-    union all select k, 'fecha', cast(d as varchar), 'fecha numérica' from o
-    union all select k, 'folio_referencia', case k % 4 when 0 then 'ABCDEF01-2345-4678-9ABC-' || lpad(cast(k as varchar), 12, '0') else 'L-' || lpad(cast(k as varchar), 8, '0') end, 'folio o referencia' from o where k % 4 in (0, 2)
-    union all select k, 'uuid', 'ABCDEF01-2345-4678-9ABC-' || lpad(cast(k as varchar), 12, '0'), 'UUID fiscal' from o where k % 4 = 0
-    union all select k, 'cuenta', '0123456789', 'cuenta etiquetada' from o where k % 4 = 2)
-  select entity_type, normalized_value, label, count(*) as n from e group by 1, 2, 3""")
-def q_entity_extract(spark, sf_dir):
-    """Entities of rendered papers, against the columns they were rendered from."""
-    pages = fx.vouchers(spark, sf_dir).where("k % 4 <> 3").withColumn("document_id", F.col("k").cast("string")).drop("month_number", "year", "k", "amount", "day")
-    return extract.entities(pages).groupBy("entity_type", "normalized_value", "label").agg(count().alias("n"))
-
-
 @query(f"""with o as (select * from {ORDERS}),
   e as (select k, 'importe' as entity_type, cast(amount as varchar) as normalized_value, case k % 4 when 0 then 'neto del recibo' when 2 then 'importe total' else 'importe mencionado' end as label from o
     union all select k, 'importe', cast(amount * 2 as varchar), 'total' from o where k % 4 = 3
@@ -176,12 +163,30 @@ def q_entity_extract(spark, sf_dir):
     union all select k, 'uuid', 'ABCDEF01-2345-4678-9ABC-' || lpad(cast(k as varchar), 12, '0'), 'UUID fiscal' from o where k % 4 = 0
     union all select k, 'cuenta', '0123456789', 'cuenta etiquetada' from o where k % 4 = 2)
   select entity_type, normalized_value, label, count(*) as n from e group by 1, 2, 3""")
-def q_entity_extract_all(spark, sf_dir):
+def q_entity_extract(spark, sf_dir):
     """Entities of all four kinds of rendered papers; a policy has an amount on two lines and their total."""
     pages = fx.vouchers(spark, sf_dir).withColumn("document_id", F.col("k").cast("string")).drop("month_number", "year", "k", "amount", "day")
     return extract.entities(pages).groupBy("entity_type", "normalized_value", "label").agg(count().alias("n"))
 
 
+@query("""with c as (select c_custkey as k, 'XAB' || strftime(date '2001-01-01' + cast(c_custkey % 9000 as integer), '%y%m%d') || 'A1' || (c_custkey % 10) as rfc, 'LOMA' || case when c_custkey % 3 = 0 then '991399' else '850203' end || 'HVZRNS0' || (c_custkey % 10) as curp,
+    lpad(cast(c_custkey as varchar), 18, '7') as clabe from customer)
+  select k as document_id, 'rfc' as entity_type, rfc as normalized_value, 'RFC' as label, 'alta' as confidence, 'RFC ' || rfc || ' CURP ' || curp || ' CLABE ' || clabe as snippet from c
+  union all select k, 'curp', curp, case when k % 3 = 0 then 'CURP con posible error OCR' else 'CURP' end, case when k % 3 = 0 then 'media' else 'alta' end, 'RFC ' || rfc || ' CURP ' || curp || ' CLABE ' || clabe from c
+  union all select k, 'clabe', clabe, 'CLABE o número de 18 dígitos', 'alta', 'RFC ' || rfc || ' CURP ' || curp || ' CLABE ' || clabe from c""")
+def q_identity_entities(spark, sf_dir):
+    """Tax and person identities and bank keys of rendered pages, with their snippets."""
+    k = F.col("c_custkey")
+    day = F.date_format(F.date_add(F.lit("2001-01-01").cast("date"), (k % 9000).cast("int")), "yyMMdd")
+    rfc = F.concat(F.lit("XAB"), day, F.lit("A1"), k % 10)
+    curp = F.concat(F.lit("LOMA"), F.when(k % 3 == 0, "991399").otherwise("850203"), F.lit("HVZRNS0"), k % 10)
+    text = F.concat(F.lit(" :RFC "), rfc, F.lit("\nCURP\t"), F.lower(curp), F.lit("  CLABE "), F.lpad(k.cast("string"), 18, "7"), F.lit(" ;\n"))
+    pages = read(spark, sf_dir, "customer").select(k.alias("document_id"), F.lit("x.pdf").alias("relative_path"), F.lit(1).alias("page_number"), text.alias("text"))
+    out = extract.entities(pages).where("entity_type in ('rfc', 'curp', 'clabe')")
+    snippet = F.regexp_replace("snippet", "CURP (\\S+)", F.concat(F.lit("CURP "), F.upper(F.regexp_extract("snippet", "CURP (\\S+)", 1))))
+    return out.select("document_id", "entity_type", "normalized_value", "label", "confidence", snippet.alias("snippet"))
+
+
 @query(f"select k, sha256('orden|D' || c || '|' || k) as record_key, substr(sha256('P' || k || '|C' || k || '|r'), 1, 24) as link_id, 'TR-' || upper(substr(sha256('A' || k || '|B' || k), 1, 16)) as case_id from {ORDERS}")
 def q_record_keys(spark, sf_dir):
     k = F.col("k").cast("string")
@@ -600,7 +605,8 @@ def q_nested_export(spark, sf_dir):
     return fx.orders(spark, sf_dir).select("k", x.local_link(path, F.col("k") % 40).alias("link"), F.to_json(F.array("status", "priority")).alias("signals"))
 
 
-@query()
+@query("""select cast(2 as integer) as excel_row, 'POL 12' as account, 'caja' as origin, '1/2/2021' as date_text, 'FEB' as month, '93.198.98' as amount_raw, 'obra' as concept,
+  cast(93198.98 as decimal(18,2)) as amount, 'recuperado_separadores' as amount_status, cast(93198.98 as decimal(18,2)) as stated_total""")
 def q_sheet_source(spark, sf_dir):
     """A payment workbook, written and read back with its total row."""
     import io

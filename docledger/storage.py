@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors and the driver see; one of our own only where none is set (tests)."""
+    """The folder all executors and the driver see; one of our own only where none is set and all runs in one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="docledger-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -46,7 +46,7 @@ def test_query(spark, duck, name):
 
 def test_policy_pages_are_extracted(spark):
     """The whole table of papers has the amounts, totals and folios of policy pages."""
-    got = {(r.label, r.normalized_value[:2]) for r in __spark_entry__.queries()["q_entity_extract_all"](spark, SF).where("label = 'total' or normalized_value like 'P-%'").collect()}
+    got = {(r.label, r.normalized_value[:2]) for r in __spark_entry__.queries()["q_entity_extract"](spark, SF).where("label = 'total' or normalized_value like 'P-%'").collect()}
     assert ("folio o referencia", "P-") in got and "total" in {x for x, _ in got}
 
 
