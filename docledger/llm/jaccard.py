@@ -82,11 +82,15 @@ def shared_levels(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def planted_levels(sizes: list[int], threshold: float, trees: int, seed: int = 11) -> np.ndarray:
-    """The levels shared, in each tree, by pairs of sets that are as similar as the threshold asks; one pair a size."""
+    """The levels shared, in each tree, by pairs of sets as similar as the threshold asks or a little less; one pair a size.
+
+    Sets have 200 elements at least, so that the similarity comes close to the threshold.
+    """
     rng, (mult, add) = np.random.default_rng(seed), _seeds(trees * DEPTH)
     out = []
     for n in sizes:
-        apart = int(n * (1 - threshold) / (1 + threshold) + 1e-9)
+        n = max(n, 200)
+        apart = math.ceil(n * (1 - threshold) / (1 + threshold) - 1e-9)
         x = rng.integers(0, 2**64, n + apart, dtype=np.uint64)
         parts = [minhashes(p, mult, add) for p in (x[:apart], x[apart:n], x[n:])]
         out.append(shared_levels(signatures(np.minimum(parts[0], parts[1])), signatures(np.minimum(parts[1], parts[2]))))
