@@ -12,7 +12,8 @@ from docledger.operators import calibration, crossref, inventory, linkage, repor
 from docledger.plans import fixtures as fx
 from docledger.plans.catalogue import ORDERS, _pay_records, _payments, components_sql, count, ledger_sql, query
 from docledger.plans.fixtures import read
-from docledger.storage import shared_dir
+from docledger.sources import files
+from docledger.storage import save_bytes, shared_dir
 
 # ---- orders ----------------------------------------------------------------------------------------------------
 
@@ -296,6 +297,13 @@ def q_take_up(spark, sf_dir):
     return inventory.take_up(told).select("k", "reusable", "action").join(other, "k")
 
 
+@query("""select * from (values (1, 'RECIBO uno'), (2, ''), (3, 'año ' || chr(10) || 'tres')) as t(page_number, text)""")
+def q_page_source(spark, sf_dir):
+    """The pages of a document file, written and read back."""
+    path = save_bytes(spark, "RECIBO uno\f\faño \ntres\f\n".encode(), "D1.TXT")
+    return files.read_pages(spark, path).select("page_number", "text")
+
+
 # ---- audits ----------------------------------------------------------------------------------------------------------
 
 

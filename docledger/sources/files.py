@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,30 @@ def discover(spark: SparkSession, root: str, suffix: str = ".pdf", with_hash: bo
     return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), *content)
 
 
+def _form_feeds(content: bytes) -> list[str]:
+    """The pages of a plain text: parted by form feeds, a last one that closes the text aside."""
+    pages = content.decode("utf-8", "replace").split("\f")
+    return pages[:-1] if len(pages) > 1 and not pages[-1].strip() else pages
+
+
+def read_pages(spark: SparkSession, path: str, suffix: str = ".txt", parse: Callable[[bytes], list[str]] = _form_feeds) -> DataFrame:
+    """path, page_number (from 1), text of the documents below a folder whose name ends so, in either case.
+
+    `parse` makes a document's page texts of its bytes and runs on the executors, a file at a time: give one that reads the
+    format at hand.  An empty file or a document without pages gives no rows; one that `parse` fails on fails the read.
+    """
+
+    def paged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, content in zip(b.column("path").to_pylist(), b.column("content")):
+                texts = parse(content.as_py())
+                columns = [pa.array([name] * len(texts), pa.string()), pa.array(range(1, len(texts) + 1), pa.int32()), pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["path", "page_number", "text"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.where(F.lower("path").endswith(suffix)).select("path", "content").mapInArrow(paged, "path string, page_number int, text string")
+
+
 def state_rows(rows: DataFrame) -> DataFrame:
     """Typed state of (id, data) rows whose data is JSON."""
     return rows.select(F.from_json("data", STATE).alias("s")).select("s.*").orderBy("id")

@@ -182,3 +182,40 @@ def test_page_audit(spark):
     states = spark.createDataFrame([("a", "h", "completed"), ("b", "h", "failed")], "path string, hash string, status string")
     out = inventory.page_audit(pages.where("page = 1"), pages, states, states.limit(0)).collect()
     assert sorted((r.path, r.page, r.intact, r.characters_before, r.characters_after) for r in out) == [("a", 1, False, 0, 0), ("a", 2, False, 0, 2)]
+
+
+def test_pages_of_files(spark, tmp_path):
+    """Pages are numbered from 1; other suffixes are left out; a parser of one's own reads other formats."""
+    from docledger.sources import files
+
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "one.txt").write_text("uno\fdos")
+    (tmp_path / "two.TXT").write_text("tres\f\n")
+    (tmp_path / "empty.txt").write_text("")
+    (tmp_path / "three.pdf").write_bytes(b"x|y|z")
+    rows = lambda df: sorted((r.path.rsplit("/", 1)[1], r.page_number, r.text) for r in df.collect())
+    assert rows(files.read_pages(spark, str(tmp_path))) == [("one.txt", 1, "uno"), ("one.txt", 2, "dos"), ("two.TXT", 1, "tres")]
+    parsed = files.read_pages(spark, str(tmp_path), ".pdf", lambda content: content.decode().split("|"))
+    assert rows(parsed) == [("three.pdf", 1, "x"), ("three.pdf", 2, "y"), ("three.pdf", 3, "z")]
+
+
+def test_broken_references_are_refused(spark):
+    import pytest
+
+    from docledger.operators import reports
+
+    tables = {"links": spark.createDataFrame([("a", "b")], "source_key string, target_key string"), "records": spark.createDataFrame([("a",)], "record_key string")}
+    saved = []
+    with pytest.raises(reports.BrokenReference):
+        reports.save_stage(tables, reports.TRACE_REFERENCES[:2], lambda name, table: saved.append(name))
+    assert not saved
+    reports.save_stage(tables, reports.TRACE_REFERENCES[:1], lambda name, table: saved.append(name))
+    assert saved == ["links", "records"]
+
+
+def test_folded_search_terms(spark):
+    from docledger.operators import search
+
+    pages = spark.createDataFrame([(1, 1, "La Acción y la canción"), (2, 1, "la accion")], "document_id int, page_number int, text string")
+    found = lambda terms: {r.document_id for r in search.match(search.token_index(pages), terms).collect()}
+    assert found(["acción", "ACCION"]) == {1, 2} and found(["la", "Canción"]) == {1} and found(["nada"]) == set()
