@@ -65,12 +65,11 @@ def field_records(readings: DataFrame) -> DataFrame:
 def total_control(readings: DataFrame, constraints: DataFrame, second: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(controls, readings): whether a total is the sum of two parts in each profile, and the readings marked where it isn't.
 
-    readings: profile, field_id, raw, validators, requires_review; constraints: total_field, first_field (a few fixed rows);
+    readings: profile, field_id, raw, validators, requires_review; constraints: total_field, first_field;
     second: profile, total_field, value of the part that is no field itself.  `consistent` is null where a number is unreadable.
     """
-    few = F.broadcast(constraints.limit(1000))  # written by hand; more rows than that are no such table
     side = lambda n: readings.select("profile", F.col("field_id").alias(f"{n}_field"), F.col("raw").alias(n))
-    rows = side("first").join(few, "first_field").join(side("total"), ["profile", "total_field"]).join(second, ["profile", "total_field"], "left")
+    rows = side("first").join(constraints, "first_field").join(side("total"), ["profile", "total_field"]).join(second, ["profile", "total_field"], "left")
     controls = rows.withColumn("consistent", fields.check_total(F.col("total"), F.array("first", "value"))).withColumnRenamed("value", "second")
     wrong = controls.where(~F.col("consistent")).select("profile", F.explode(F.array("total_field", "first_field")).alias("field_id")).distinct()
     marked = readings.join(wrong.withColumn("off", F.lit(True)), ["profile", "field_id"], "left")
@@ -92,7 +91,7 @@ def profile_accuracy(records: DataFrame, baseline: str) -> DataFrame:
     sums = [F.count(F.lit(1)).alias("total"), F.count_if("exact").alias("exact"), F.count_if(wrong & ~F.col("requires_review")).alias("unnoticed")]
     out = records.rollup("profile", "kind").agg(*sums, F.grouping_id().alias("g")).where("g < 3").drop("g")
     base = out.where(F.col("profile") == baseline).select("kind", F.col("exact").alias("base"))
-    joined = out.join(F.broadcast(base), out["kind"].eqNullSafe(base["kind"]), "left").drop(base["kind"])  # a row a kind
+    joined = out.join(base, out["kind"].eqNullSafe(base["kind"]), "left").drop(base["kind"])
     return joined.withColumns({"percent": F.round(100 * F.col("exact") / F.col("total"), 2), "change": F.col("exact") - F.coalesce("base", F.lit(0))}).drop("base")
 
 

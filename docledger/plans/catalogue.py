@@ -384,13 +384,16 @@ def _payments(spark, sf_dir):
 PAY_SQL = f"""pay as (select cast(k as integer) as excel_row, cast(month(d) as integer) as m, k, c, priority, status, case when k % 19 = 0 and k % 17 <> 0 then null else amount end as amount, k % 17 = 0 and amount >= 1000 as saved from {ORDERS} where k % 3 = 0)"""
 
 
-@query(f"""with {PAY_SQL}, rec as (select month(d) as m, month(d) || '. Mes/D' || c || '.pdf' as path, 'D' || c as doc, cast(k as varchar) as folio, k, amount from {ORDERS} where k % 2 = 0),
+RANK_SQL = f"""{PAY_SQL}, rec as (select month(d) as m, month(d) || '. Mes/D' || c || '.pdf' as path, 'D' || c as doc, cast(k as varchar) as folio, k, amount, cast(k % 40 as integer) as page from {ORDERS} where k % 2 = 0),
   uniq as (select m, amount, min(path) as path from (select distinct m, amount, path from rec) group by 1, 2 having count(*) = 1),
   path as (select distinct m, path, regexp_extract(path, 'D(\\d+)', 1) as num from rec),
   hit as (select p.excel_row, t.path, 80 * (case when t.num = cast(p.k as varchar) then 1 else 0 end) + 65 * (case when p.k <> 0 and exists (select 1 from rec r where r.path = t.path and r.k = p.k) then 1 else 0 end)
       + 25 * (case when exists (select 1 from rec r where r.path = t.path and r.amount = p.amount) then 1 else 0 end) + 40 * (case when u.path = t.path then 1 else 0 end) as score
     from pay p join path t on t.m = p.m left join uniq u on u.m = p.m and u.amount = p.amount),
-  r as (select *, row_number() over w as rank, lead(score) over w as nx from hit where score >= 55 window w as (partition by excel_row order by score desc, path desc))
+  r as (select *, row_number() over w as rank, lead(score) over w as nx from hit where score >= 55 window w as (partition by excel_row order by score desc, path desc))"""
+
+
+@query(f"""with {RANK_SQL}
   select excel_row, path as relative_path, cast(score as integer) as score, cast(rank as integer) as rank, first(coalesce(nx >= score - 10, false)) over (partition by excel_row order by rank) as ambiguous from r qualify rank <= 3""")
 def q_payment_rank(spark, sf_dir):
     """Sheet rows ranked against the documents of their month."""
@@ -406,9 +409,28 @@ def _pay_records(spark, sf_dir):
     return o.select(F.concat(F.lit("C"), F.col("k")).alias("record_key"), F.lit(fixed.CHEQUE).alias("record_type"), path.alias("relative_path"), (F.col("k") % 40).cast("int").alias("page_number"), "amount", F.col("k").cast("string").alias("folio"), none.alias("concept"), none.alias("evidence"))
 
 
-@query()
+#: The best document of each row, and the record of it that proves the payment: an exact amount on the first page, else the last page.
+MATCHED_SQL = f"""{RANK_SQL},
+  best as (select excel_row, path, score, coalesce(nx >= score - 10, false) as unclear from r where rank = 1),
+  asked as (select p.*, list_extract({['ENE', 'FEB', 'MAR', 'ABR', 'MAY', 'JUN', 'JUL', 'AGO', 'SEP', 'OCT', 'NOV', 'DIC']}, p.m) as month,
+      case when amount is null then 'invalido' when saved then 'recuperado_separadores' else 'numerico' end as amount_status from pay p),
+  shown as (select b.excel_row, 'C' || c.k as key, c.page, c.amount as found, coalesce(c.amount = a.amount, false) as exact
+    from best b join asked a using (excel_row) join rec c on c.path = b.path),
+  proof as (select excel_row, case when count(distinct found) = 1 then any_value(found) end as paid, max(page) as paid_page,
+      first(struct_pack(key, page, found) order by exact desc, case when exact then page else -page end, key) as e from shown group by 1)"""
+
+
+@query(f"""with {MATCHED_SQL}
+  select p.excel_row, cast(p.k as varchar) as account, 'banco' as origin, p.month, p.amount, p.amount_status, 'SERVICIO ' || p.priority as concept,
+    case when b.score is null then 'sin_coincidencia' when b.unclear then 'ambiguo' else 'vinculado' end as match_status,
+    case when b.score is null then 'baja' when b.unclear or b.score < 80 then 'media' else 'alta' end as match_confidence,
+    cast(coalesce(b.score, 0) as integer) as match_score, b.path as matched_path, v.e.key as matched_record_key,
+    case when v.e is not null then '{fixed.CHEQUE}' end as matched_type, v.e.page as matched_page, v.e.found as source_amount,
+    cast(v.e.found - p.amount as decimal(18,2)) as amount_difference, v.paid as paid_amount, v.paid_page,
+    cast(v.paid - p.amount as decimal(18,2)) as paid_difference, false as amount_in_paid_evidence
+  from asked p left join best b using (excel_row) left join proof v using (excel_row)""")
 def q_payment_match(spark, sf_dir):
-    """Sheet rows with their match, proof and differences; held against a hand-made case in the tests."""
+    """Sheet rows with their match, proof and differences."""
     out, _ = crossref.matched(_payments(spark, sf_dir), _pay_records(spark, sf_dir))
     return out.drop("match_reasons", "paid_amounts")
 
@@ -475,11 +497,30 @@ def q_reading_score(spark, sf_dir):
     return calibration.score_readings(words, ["page_id"]).select("page_id", "confidence", F.col("headers").cast("long").alias("headers"), "plausible_ratio", "horizontal_word_ratio")
 
 
-@query()
+_PATTERNS_SQL = " + ".join(f"len(regexp_extract_all(text, '{p}'))" for p in [
+    # An amount, without looking around: the signs beside it are taken too.
+    r"(?:^|[^\d.])(?:\$\d[\d,]{0,20}\.\d{2}|\d{1,3}(?:,\d{3})+\.\d{2}|\d{1,12}\.\d{2})(?:$|[^\d.])",
+    r"\b\d{1,2}/\d{1,2}/\d{4}\b",
+    *fixed.READING_PATTERNS,
+])
+
+
+@query(f"""with w as {_WORDS}, a as (select *, trim(lower(text), '.,:$()') as bare, unnest([0, 90, 180, 270]) as angle from w),
+  t as (select doc_id, angle, sum(greatest(confidence - (angle + 90 * (doc_id % 4)) % 360 / 9.0::double, 0) * length(text)) / sum(length(text)) as c,
+      sum(length(regexp_replace(text, '[^\\p{{L}}\\p{{N}}]', '', 'g'))) as signs, sum({_PATTERNS_SQL}) as hits,
+      count(distinct case when bare in ({', '.join(f"'{h}'" for h in fixed.HEADERS)}) then bare end) as headers,
+      count_if(bare in ({', '.join(f"'{h}'" for h in fixed.COMMON)}) or regexp_full_match(bare, '\\d[\\d.,/:-]*')) / count(*) as p,
+      count_if(length(text) > 2 and wd > ht) / greatest(1, count_if(length(text) > 2)) as h from a group by 1, 2),
+  s as (select *, round(0.55::double * c + 8 * ln(1 + signs) + 25 * p + 3 * least(headers, 10) + 2 * ln(1 + hits) + 30 * h, 4) as score from t),
+  k as (select *, lead(score) over o as second, row_number() over o as place from s window o as (partition by doc_id order by score desc, angle)),
+  m as (select *, (score - second) / greatest(abs(score), 1) as margin from k where place = 1),
+  u as (select *, margin < 0.06 or round(c, 3) < 35 or signs < 15 as unclear from m)
+  select doc_id as page_id, angle, round(margin, 4) as margin, unclear as ambiguous, case when unclear then 'baja' when margin > 0.18 then 'alta' else 'media' end as confidence from u""")
 def q_orientation(spark, sf_dir):
-    """The best of four angles of each page; the tests hold it against hand-made readings."""
+    """The best of four angles of each page, whose words are read the worse the further an angle is from the page's own."""
     angles = F.explode(F.array(*map(F.lit, (0, 90, 180, 270))))
-    words = _words(spark, sf_dir).withColumn("angle", angles).withColumn("confidence", F.col("confidence") - F.col("angle") / 9)
+    off = F.pmod(F.col("angle") + 90 * (F.col("page_id") % 4), F.lit(360))
+    words = _words(spark, sf_dir).withColumn("angle", angles).withColumn("confidence", F.col("confidence") - off / 9)
     return calibration.choose_orientation(calibration.score_readings(words, ["page_id", "angle"]))
 
 

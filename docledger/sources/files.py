@@ -74,11 +74,17 @@ def save_table(df: DataFrame, path: str, by: list[str] | None = None) -> None:
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
-def save_csv(df: DataFrame, path: str, empty_note: str | None = None) -> None:
-    """A report: one CSV file with a header; nested columns as JSON; an empty one may say so in a row."""
+def save_csv(df: DataFrame, path: str, empty_note: str | None = None, mark: bool = True) -> None:
+    """A report: one CSV file with a header; nested columns as JSON; an empty one may say so in a row.
+
+    `mark` leads the file with the byte order mark that spreadsheets look for; Spark's own reader passes over it.
+    """
     flat = df.select(*[F.to_json(c).alias(c) if t.startswith(("array", "map", "struct")) else F.col(c) for c, t in df.dtypes])
     if empty_note and flat.isEmpty():
         flat = df.sparkSession.createDataFrame([(empty_note,)], "estado string")
+    if mark:
+        first, *rest = flat.columns
+        flat = flat.toDF(chr(0xFEFF) + first, *rest)
     flat.coalesce(1).write.mode("overwrite").csv(path, header=True)
 
 
@@ -86,10 +92,49 @@ def save_json(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def html_report(df: DataFrame, title: str, limit: int = 5000) -> str:
-    """A table of the first rows, escaped; a report for reading, so the rows are bounded."""
+_SCRIPT = """const rows = [...document.querySelectorAll('tbody tr')], search = document.querySelector('input'), picks = [...document.querySelectorAll('select')];
+function show() {
+  const asked = search.value.toLowerCase();
+  let n = 0;
+  for (const row of rows) {
+    const fits = row.textContent.toLowerCase().includes(asked) && picks.every(p => !p.value || row.cells[p.dataset.column].textContent === p.value.slice(1));
+    row.hidden = !fits;
+    n += fits;
+  }
+  document.querySelector('output').textContent = n;
+}
+search.addEventListener('input', show);
+picks.forEach(p => p.addEventListener('change', show));
+show();"""
+
+
+def html_report(df: DataFrame, title: str, filters: tuple[str, ...] = (), links: tuple[str, ...] = (), limit: int = 5000) -> str:
+    """A page for reading: a table with a search field, a choice of values for each of `filters`, and `links` to follow.
+
+    Everything is escaped.  Only file and web addresses become links; others stay text.  The page holds `limit` rows, in
+    the order of `df`; where there are more it says how many, so none is left out unsaid.
+    """
     from html import escape
 
-    cells = lambda tag, values: "".join(f"<{tag}>{escape('' if v is None else str(v))}</{tag}>" for v in values)
-    body = "".join(f"<tr>{cells('td', row)}</tr>" for row in df.limit(limit).collect())
-    return f"<!doctype html><meta charset='utf-8'><title>{escape(title)}</title><h1>{escape(title)}</h1><table><tr>{cells('th', df.columns)}</tr>{body}</table>"
+    names = df.columns
+    found = df.limit(limit + 1).collect()
+    rows, more = found[:limit], df.count() - limit if len(found) > limit else 0
+    text = lambda v: "" if v is None else str(v)
+
+    def cell(name: str, v) -> str:
+        shown = escape(text(v))
+        if name in links and text(v).startswith(("file://", "https://", "http://")):
+            shown = f"<a href='{shown}'>{shown}</a>"
+        return f"<td>{shown}</td>"
+
+    def choice(name: str) -> str:
+        values = sorted({text(r[name]) for r in rows})
+        options = "".join(f"<option value='={escape(v)}'>{escape(v)}</option>" for v in values)
+        return f"<label>{escape(name)} <select data-column='{names.index(name)}'><option value=''></option>{options}</select></label> "
+
+    head = "".join(f"<th>{escape(n)}</th>" for n in names)
+    body = "".join(f"<tr>{''.join(cell(n, v) for n, v in zip(names, r))}</tr>" for r in rows)
+    left = f"<p>{more} more rows are not on this page.</p>" if more else ""
+    tools = f"<p><input type='search'> {''.join(map(choice, filters))}<output>{len(rows)}</output> / {len(rows)}</p>"
+    table = f"<table><thead><tr>{head}</tr></thead><tbody>{body}</tbody></table>"
+    return f"<!doctype html><meta charset='utf-8'><title>{escape(title)}</title><h1>{escape(title)}</h1>{left}{tools}{table}<script>{_SCRIPT}</script>"

@@ -219,3 +219,33 @@ def test_folded_search_terms(spark):
     pages = spark.createDataFrame([(1, 1, "La Acción y la canción"), (2, 1, "la accion")], "document_id int, page_number int, text string")
     found = lambda terms: {r.document_id for r in search.match(search.token_index(pages), terms).collect()}
     assert found(["acción", "ACCION"]) == {1, 2} and found(["la", "Canción"]) == {1} and found(["nada"]) == set()
+
+
+def test_report_page(spark):
+    rows = spark.createDataFrame([("a", "file:///x/D%201.pdf#page=2", 1), ("b'>", "javascript:alert(1)", 2), ("a", None, 3)], "kind string, page string, n int").orderBy("n")
+    page = files.html_report(rows, "<t>", filters=("kind",), links=("page",))
+    assert page.count("<tr>") == 4 and "<h1>&lt;t&gt;</h1>" in page and "more rows" not in page
+    assert page.count("<a href=") == 1 and "<a href='file:///x/D%201.pdf#page=2'>" in page
+    assert page.count("<option") == 3 and "value='=b&#x27;&gt;'" in page
+    short = files.html_report(rows, "t", limit=1)
+    assert short.count("<tr>") == 2 and "2 more rows are not on this page" in short
+    assert files.html_report(rows.limit(0), "t", filters=("kind",)).count("<tr>") == 1
+
+
+def test_csv_mark(spark, tmp_path):
+    rows = spark.createDataFrame([(1, ["x", "y"])], "a int, b array<string>")
+    for mark in (True, False):
+        path = tmp_path / str(mark)
+        files.save_csv(rows, f"file://{path}", mark=mark)
+        (file,) = path.glob("*.csv")
+        assert file.read_bytes().startswith(b"\xef\xbb\xbfa,b" if mark else b"a,b")
+        assert spark.read.csv(f"file://{path}", header=True, escape="\\").select("a", "b").collect() == [("1", '["x","y"]')]
+
+
+def test_all_constraints_of_totals_count(spark):
+    n = 1200
+    field = lambda f, raw: spark.range(n).select(F.lit("A").alias("profile"), (F.col("id") * 2 + f).alias("field_id"), F.lit(raw).alias("raw"), F.array().cast("array<string>").alias("validators"), F.lit(False).alias("requires_review"))
+    pairs = spark.range(n).select((F.col("id") * 2 + 1).alias("total_field"), (F.col("id") * 2).alias("first_field"))
+    second = pairs.select(F.lit("A").alias("profile"), "total_field", F.lit("20.00").alias("value"))
+    controls, marked = calibration.total_control(field(0, "10.00").unionAll(field(1, "31.00")), pairs, second)
+    assert controls.count() == n and marked.where("requires_review").count() == 2 * n
