@@ -7,6 +7,7 @@ from docledger.functions import fields, fixed
 from docledger.operators import calibration, catalog, crossref, extract, inventory, linkage, merge, search
 from docledger.operators.components import components
 from docledger.sources import files, sheet
+from docledger.storage import remove_written, written, written_in_buckets
 from docledger.streaming import pages as stream
 
 PAGE = "document_id string, relative_path string, page_number int, text string, month_number int, year int"
@@ -249,3 +250,15 @@ def test_all_constraints_of_totals_count(spark):
     second = pairs.select(F.lit("A").alias("profile"), "total_field", F.lit("20.00").alias("value"))
     controls, marked = calibration.total_control(field(0, "10.00").unionAll(field(1, "31.00")), pairs, second)
     assert controls.count() == n and marked.where("requires_review").count() == 2 * n
+
+
+def test_written_tables_are_removed(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("docledger.storage.shared_dir", lambda _: f"file://{tmp_path}")  # the tables of other tests stay
+    rows = spark.range(10).withColumn("k", F.col("id") % 3)
+    assert written(rows, "a").count() == 10 and written_in_buckets(rows, "b", "k", 2).count() == 10
+    folder = tmp_path / "docledger" / spark.sparkContext.applicationId
+    assert len(list(folder.iterdir())) == 2
+    remove_written(spark)
+    assert not folder.exists()
+    remove_written(spark)  # nothing left
+    assert written(rows, "a").count() == 10
