@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from docledger.functions import fields, fixed
+from docledger.functions import fields, fixed, text
 from docledger.operators import calibration, catalog, crossref, extract, inventory, linkage, merge, search
 from docledger.operators.components import components
 from docledger.sources import files, sheet
@@ -83,6 +83,65 @@ def test_ambiguity(spark):
     assert len(cases) == 3 and all(k.status == "sugerido" for k in links) and links
 
 
+def test_bank_matches_by_brute_force(spark):
+    """Names, folios in references, types, days and components at random, with many ties."""
+    import datetime
+    import random
+    from itertools import groupby
+
+    draw = random.Random(7)
+    day = lambda: str(datetime.date(2021, 7, 20) + datetime.timedelta(draw.randrange(40)))
+    who = lambda: draw.choice([None, None, "ANA RUIZ", "ANA RUIZ SOTO", "ANA RUIZ SOTO VEGA"])
+    others = [record(f"r{i}", draw.choice([fixed.CHEQUE, fixed.TRANSFER, fixed.PAYROLL]), i % 5, draw.choice(["10.00", "20.00"]), day() if i % 19 else None, who(), draw.choice([None, "1234", "5678", "ABCD"]), doc=f"D{i % 7}") for i in range(150)]
+    bank = [record(f"b{i}", fixed.BANK, i % 3, draw.choice(["10.00", "20.00", "30.00"]), day(), who(), reference=draw.choice([None, "PAGO 1234", "5678 ABCD 5678"]), doc="S") for i in range(120)]
+    root = {r[0]: f"r{draw.randrange(40)}" for r in others[::2]}
+    rows = linkage.prepared(spark.createDataFrame(bank + others, RECORD))
+    rooted = spark.createDataFrame(list(root.items()), "record_key string, root string")
+    got = sorted((r.target_key, r.source_key, r.raw_score, r.taken, tuple(r.reasons)) for r in linkage.bank_matches(rows, rooted, text.word_overlap).collect())
+
+    def words(name):
+        return set((name or "").split())
+
+    def match(b, r):
+        days = abs((datetime.date.fromisoformat(b[7]) - datetime.date.fromisoformat(r[7])).days)
+        mine, theirs = words(b[8]), words(r[8])
+        sim = len(mine & theirs) / len(mine | theirs) if mine and theirs else 0
+        named = [("beneficiario_coincidente", 35)] if sim >= 0.86 else [("beneficiario_similar", 22)] if sim >= 0.7 else []
+        near = ("fecha_exacta", 30) if days == 0 else ("fecha_cercana", 24) if days <= 3 else ("fecha_en_7_dias", 15)
+        signals = [("importe_exacto", 35), near, *named, *[("lote_transferencia", 10)] * (r[1] == fixed.TRANSFER), *[("folio_en_referencia_bancaria", 35)] * (r[9] in (b[10] or "").split())]
+        return days <= 7, -min(100, sum(p for _, p in signals)), (r[2], r[4], r[0]), root.get(r[0], r[0]), tuple(n for n, _ in signals)
+
+    best = []
+    for b in bank:
+        found = sorted(m[1:] for r in others if r[7] and r[6] == b[6] and (m := match(b, r))[0])
+        if found:
+            rest = [m[0] for m in found if m[2] != found[0][2]]
+            able = found[0][0] <= -75 and (not rest or rest[0] - found[0][0] >= 10)
+            best.append(((found[0][2], able), found[0][0], (b[2], b[4], b[0]), found[0]))
+    want = []
+    for _, turn in groupby(sorted(best), key=lambda m: m[0]):
+        want += [(b[2], top[1][2], -top[0], able and k == 0, top[3]) for k, ((_, able), _, b, top) in enumerate(turn)]
+    assert got == sorted(want) and {t for _, _, _, t, _ in got} == {True, False}
+
+
+def test_bank_matches_make_no_pairs_of_records(spark):
+    """Eighty bank records and eighty alike others: names are compared for kinds of records, not for 6,400 pairs."""
+    made = spark.sparkContext.accumulator(0)
+
+    def same(left, right):
+        made.add(1)
+        return float(left == right)
+
+    rows = linkage.prepared(spark.createDataFrame([record(f"c{i:02}", fixed.CHEQUE, i, doc="D") for i in range(80)] + [record(f"b{i:02}", fixed.BANK, i, doc="S") for i in range(80)], RECORD))
+    none = spark.createDataFrame([], "record_key string, root string")
+    roots = linkage.roots(rows, spark.createDataFrame([("c00", "c01")], "source_key string, target_key string"))
+    for rooted in (roots, roots.where("root <> record_key").unionByName(none)):
+        before = made.value
+        got = linkage.bank_matches(rows, rooted, F.udf(same, "double")).collect()
+        assert len(got) == 80 and {(r.source_key, r.raw_score, r.taken) for r in got} == {("c00", 100, False)}
+        assert made.value - before <= 80
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(50, 51), (51, 52), (7, 7), (None, 3)], "a long, b long")
     got = {r.node: r.root for r in components(edges).collect()}
