@@ -280,15 +280,13 @@ def _links(links: DataFrame) -> DataFrame:
     return links.select("link_id", "source_key", "target_key", "relation", "score", "status")
 
 
-def _ledger_chosen(spark, sf_dir, round_to=None):
-    rows = linkage.prepared(fx.ledger(spark, sf_dir, round_to))
-    candidates = linkage.policy_cheque(rows, x.word_overlap).unionByName(linkage.cheque_transfer(rows)).unionByName(linkage.policy_transfer(rows))
-    return rows, linkage.choose(candidates)
+def _chosen(rows):
+    return linkage.choose(linkage.policy_cheque(rows, x.word_overlap).unionByName(linkage.cheque_transfer(rows)).unionByName(linkage.policy_transfer(rows)))
 
 
 def _ledger_decided(spark, sf_dir, round_to=None):
-    rows, chosen = _ledger_chosen(spark, sf_dir, round_to)
-    return rows, written(chosen, "inside")
+    rows = linkage.prepared(fx.ledger(spark, sf_dir, round_to))
+    return rows, written(_chosen(rows), "inside")
 
 
 @query(f"with {links_sql()} select {LINK_COLUMNS} from dec where score >= 55")
@@ -328,8 +326,10 @@ BANK_SQL = f"""bc as (select c.record_key as s, b.record_key as t, comp.root, 35
 @query(f"with recursive {links_sql(10_000)}, {components_sql()}, {BANK_SQL} select {LINK_COLUMNS} from bank where score >= 55")
 def q_bank_interval_match(spark, sf_dir):
     """Bank rows against records of equal (rounded) amounts within seven days, across documents."""
-    rows, inside = _ledger_chosen(spark, sf_dir, 10_000)  # read once, so not written
-    matched = linkage.bank_matches(rows, linkage.linked(inside.where("taken")), x.word_overlap)
+    # Written, as the tables that `fold` takes days and names through stand in a plan wherever these are used.
+    rows = linkage.prepared(fx.ledger(spark, sf_dir, 10_000)).select("record_key", "record_type", "document_id", "page_number", "amount", "folio", "reference", "evidence", "day", "name")
+    rows = written(rows, "prepared").withColumn("ordinal", F.struct("document_id", "page_number", "record_key"))
+    matched = linkage.bank_matches(rows, linkage.linked(_chosen(rows).where("taken")), x.word_overlap)
     return _links(linkage.link_rows(matched))
 
 

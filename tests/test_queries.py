@@ -44,6 +44,12 @@ def test_query(spark, duck, name):
     assert got == want
 
 
+def test_plan_of_bank_matches_is_small(spark):
+    """Spark keeps and logs a plan's text again at each step, so the tables of `fold` mustn't stand in it dozens of times."""
+    plan = catalogue.QUERIES["q_bank_interval_match"](spark, SF)._jdf.queryExecution()
+    assert len(plan.executedPlan().toString()) < 300_000
+
+
 def test_policy_pages_are_extracted(spark):
     """The whole table of papers has the amounts, totals and folios of policy pages."""
     got = {(r.label, r.normalized_value[:2]) for r in __spark_entry__.queries()["q_entity_extract"](spark, SF).where("label = 'total' or normalized_value like 'P-%'").collect()}
