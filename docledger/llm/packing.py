@@ -21,6 +21,7 @@ import json
 import math
 import os
 import zlib
+from codecs import charmap_decode
 
 import numpy as np
 import pyarrow as pa
@@ -65,70 +66,132 @@ class _Whole:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
 
 
+def _byte_letters() -> str:
+    """The letter that stands for each byte in a vocabulary of bytes; a space stays what parts words."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    letters = [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
+    letters[0x20] = " "
+    return "".join(letters)
+
+
+def _laid(ids: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of `ids` that begin there, one behind the other."""
+    kind = np.int32 if sizes.sum(dtype=np.int64) < 2**31 and len(ids) < 2**31 else np.int64
+    ends = np.cumsum(sizes, dtype=kind)
+    return ids[np.repeat(begins.astype(kind) - ends + sizes.astype(kind), sizes) + np.arange(ends[-1] if len(ends) else 0, dtype=kind)]
+
+
 class _Ids:
-    """A run of non-space characters -> its ids as little-endian 32-bit numbers; runs that recur are remembered up to a bound.
+    """A run of non-space characters -> its ids; runs that recur are remembered up to a bound.
 
     The tokenizer drops white space, lower-cases, and merges within runs of letters, so a text's ids are its
     runs' ids in turn, in either case, and punctuation behind a Latin letter stands for itself.
-    New runs of letters are encoded many at a time and parted behind the ids that end a word.  Most runs of a
-    large text table occur once, so only those that a batch has twice are remembered.
+    New runs of letters are encoded many at a time and parted behind the ids that end a word; in small Latin letters
+    no step before the merges changes them, so the merges alone encode those.  Most runs of a large text table occur
+    once, so only those that a batch has twice are remembered.  Runs are told apart by Arrow and their ids laid out
+    by NumPy, without a Python object for each.
     """
 
     #: ASCII characters that are no letter, digit, space, apostrophe or part of a special token.
-    TAIL = b"!\"#$%&()*+,-./:;=?@[]^_`{}~"
+    TAIL = "!\"#$%&()*+,-./:;=?@[]^_`{}~"
+    #: Letters up to U+00FF at an end, and runs of small ones alone; all of them are composed already.
+    LATIN_END, SMALL_LATIN = "[A-Za-zÀ-ÖØ-öø-ÿ]$", "^[a-zß-öø-ÿ]+$"
+    BYTES = _byte_letters()
 
     def __init__(self, tokenizer, bound: int = 150_000):
+        from tokenizers import Tokenizer, pre_tokenizers
+
         self.tokenizer, self.bound = tokenizer, bound
-        self.known: dict[bytes, bytes] = {}
+        self.merges = Tokenizer(tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self._forget()
         vocabulary = tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
+    def _forget(self) -> None:
+        self.known, self.ids, self.sizes = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int64)
+
     def of(self, texts: pa.Array) -> list[bytes]:
-        """The ids of each text: runs are split and told apart by Arrow, and their ids laid out by NumPy."""
+        """The ids of each text as little-endian 32-bit numbers."""
         plain = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))  # special tokens heed the case
         lists = pc.ascii_split_whitespace(plain)
         coded = lists.flatten().dictionary_encode()
-        runs = coded.dictionary.cast(pa.binary()).to_pylist()
-        which = coded.indices.to_numpy(zero_copy_only=False)
-        fresh = self._learned(runs)
-        ids_of = [fresh[r] if r in fresh else self.known[r] for r in runs]
+        runs, which = coded.dictionary.cast(pa.string()), coded.indices.to_numpy(zero_copy_only=False)
+        ids, begins, sizes, fresh = self._found(runs, self._learned)
+        more = fresh & (np.bincount(which, minlength=len(runs)) > 1)
         if len(self.known) > self.bound:
-            self.known = {}
-        again = np.bincount(which, minlength=len(runs)) > 1
-        self.known.update((r, fresh[r]) for r, more in zip(runs, again.tolist()) if more and r in fresh)
-        sizes = np.fromiter(map(len, ids_of), np.int32, len(ids_of)) // 4
-        ids = np.frombuffer(b"".join(ids_of), "<u4")
+            self._forget()
+        self.known = pa.concat_arrays([self.known, runs.filter(pa.array(more))])
+        self.ids = np.concatenate([self.ids, _laid(ids, begins[more], sizes[more])])
+        self.sizes = np.concatenate([self.sizes, sizes[more]])
         n = sizes[which]
-        kind = np.int32 if texts.nbytes < 2**29 else np.int64  # a text has no more ids than four a byte
-        ends = np.cumsum(n, dtype=kind)
-        begins = (np.cumsum(sizes, dtype=kind) - sizes)[which]
-        line = ids[np.repeat(begins - ends + n, n) + np.arange(ends[-1] if len(ends) else 0, dtype=kind)]
-        at = np.r_[0, ends][lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        line = _laid(ids, begins[which], n)
+        at = np.r_[0, np.cumsum(n)][lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         return [line[i:j].tobytes() for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
 
-    def _learned(self, runs: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of the runs that aren't remembered, and of what they are made of."""
-        known, fresh = self.known, {b"": b""}  # the empty run is what Arrow makes of white space at an end
-        new, closed = set(), []
-        for run in runs:
-            if run in known:
-                continue
-            core = run.rstrip(self.TAIL)
-            if len(core) < len(run) and core[-1:].isalpha():
-                closed.append((run, core, run[len(core) :]))
-                new.add(core)
-                new.add(closed[-1][2])
-            else:
-                new.add(run)
-        new.discard(b"")
-        self._encode([r for r in new if r not in known], fresh)
-        for run, core, tail in closed:
-            fresh[run] = (known[core] if core in known else fresh[core]) + (known[tail] if tail in known else fresh[tail])
-        return fresh
-
-    def _encode(self, new: list[bytes], fresh: dict[bytes, bytes]) -> None:
-        texts = [r.decode("utf-8", "replace") for r in new]
+    def _found(self, runs: pa.Array, make) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, where in them those of each run begin, how many they are, and which runs weren't remembered; `make` has the ids and sizes of these."""
+        at = pc.fill_null(pc.index_in(runs, value_set=self.known), -1).to_numpy(zero_copy_only=False)
+        fresh = at < 0
+        ids, made = make(runs.filter(pa.array(fresh)))
+        begins, sizes = np.zeros(len(runs), np.int64), np.zeros(len(runs), np.int64)
+        begins[~fresh], sizes[~fresh] = (np.cumsum(self.sizes) - self.sizes)[at[~fresh]], self.sizes[at[~fresh]]
+        begins[fresh], sizes[fresh] = len(self.ids) + np.cumsum(made) - made, made
+        return np.concatenate([self.ids, ids]), begins, sizes, fresh
+
+    def _learned(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the runs in turn and how many each has; what they are made of is encoded once."""
+        trimmed = pc.ascii_rtrim(runs, characters=self.TAIL)
+        closed = pc.and_(pc.less(pc.binary_length(trimmed), pc.binary_length(runs)), pc.match_substring_regex(trimmed, self.LATIN_END))
+        cores = pc.if_else(closed, trimmed, runs)
+        parts = pa.concat_arrays([cores, self._behind(runs.filter(closed), trimmed.filter(closed))]).dictionary_encode()
+        ids, begins, sizes, _ = self._found(parts.dictionary, self._encoded)
+        which = parts.indices.to_numpy(zero_copy_only=False)
+        of = np.full((len(runs), 2), -1)
+        of[:, 0] = which[: len(runs)]
+        of[closed.to_numpy(zero_copy_only=False), 1] = which[len(runs) :]
+        n = np.where(of < 0, 0, sizes[of])
+        return _laid(ids, begins[of].ravel(), n.ravel()), n.sum(axis=1)
+
+    @staticmethod
+    def _behind(runs: pa.Array, cores: pa.Array) -> pa.Array:
+        """What stands in each run behind its core."""
+        if not len(runs):
+            return runs
+        sizes = (pc.binary_length(runs).to_numpy() - pc.binary_length(cores).to_numpy()).astype(np.int64)
+        _, offsets, data = runs.buffers()
+        ends = np.frombuffer(offsets, np.int32)[runs.offset + 1 : runs.offset + len(runs) + 1]
+        tails = _laid(np.frombuffer(data, np.uint8), ends - sizes, sizes)
+        return pa.StringArray.from_buffers(len(runs), pa.py_buffer(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.py_buffer(tails))
+
+    def _encoded(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the parts in turn and how many each has."""
+        small = pc.match_substring_regex(parts, self.SMALL_LATIN)
+        found = self._small(parts.filter(small))
+        if found is None:  # a vocabulary without some byte
+            small, found = pa.array(np.zeros(len(parts), bool)), (np.zeros(0, "<u4"), np.zeros(0, np.int64))
+        small = small.to_numpy(zero_copy_only=False)
+        others: list = [None] * (len(parts) - int(small.sum()))
+        self._each_kind([r.decode("utf-8", "replace") for r in parts.filter(pa.array(~small)).cast(pa.binary()).to_pylist()], others)
+        sizes = np.zeros(len(parts), np.int64)
+        sizes[small], sizes[~small] = found[1], np.fromiter(map(len, others), np.int64, len(others))
+        begins = np.zeros(len(parts), np.int64)
+        begins[small], begins[~small] = np.cumsum(found[1]) - found[1], len(found[0]) + np.cumsum(sizes[~small]) - sizes[~small]
+        return _laid(np.concatenate([found[0], *others]).astype("<u4"), begins, sizes), sizes
+
+    def _small(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
+        """The same of runs of small Latin letters, if each has an id that ends it."""
+        cuts = pa.array(np.r_[np.arange(0, len(words), 2000), len(words)], pa.int32())
+        ids = [np.zeros(0, "<u4")]
+        for line in pc.binary_join(pa.ListArray.from_arrays(cuts, words.cast(pa.binary())), b" ").to_pylist():
+            ids.append(np.array(self.merges.encode_batch_fast([charmap_decode(line, "strict", self.BYTES)[0]], add_special_tokens=False)[0].ids, "<u4"))
+        ids = np.concatenate(ids)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(words) else None
+
+    def _each_kind(self, texts: list[str], found: list) -> None:
         # NFC may join letters only within a run, so runs of letters may share one call.
         words = [i for i, t in enumerate(texts) if t.isalpha()]
         for start in range(0, len(words), 2000):
@@ -136,19 +199,17 @@ class _Ids:
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in part])], add_special_tokens=False)[0].ids, "<u4")
             cut = np.flatnonzero(self.ends[ids]) + 1
             if len(cut) != len(part):  # a letter of no letter class in the tokenizer's tables: one by one
-                self._each([new[i] for i in part], [texts[i] for i in part], fresh)
+                self._each(part, texts, found)
                 continue
-            blob, begin = ids.tobytes(), 0
-            for i, end in zip(part, (cut * 4).tolist()):
-                fresh[new[i]] = blob[begin:end]
-                begin = end
-        others = [i for i, t in enumerate(texts) if not t.isalpha()]
-        self._each([new[i] for i in others], [texts[i] for i in others], fresh)
-
-    def _each(self, runs: list[bytes], texts: list[str], fresh: dict[bytes, bytes]) -> None:
-        for start in range(0, len(runs), 2000):
-            for run, e in zip(runs[start : start + 2000], self.tokenizer.encode_batch_fast(texts[start : start + 2000], add_special_tokens=False)):
-                fresh[run] = np.array(e.ids, "<u4").tobytes()
+            for i, own in zip(part, np.split(ids, cut[:-1])):
+                found[i] = own
+        self._each([i for i, t in enumerate(texts) if not t.isalpha()], texts, found)
+
+    def _each(self, chosen: list[int], texts: list[str], found: list) -> None:
+        for start in range(0, len(chosen), 2000):
+            part = chosen[start : start + 2000]
+            for i, e in zip(part, self.tokenizer.encode_batch_fast([texts[i] for i in part], add_special_tokens=False)):
+                found[i] = np.array(e.ids, "<u4")
 
 
 def _ids(path: str) -> _Ids | _Whole:

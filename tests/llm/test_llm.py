@@ -382,6 +382,33 @@ def test_packing_by_any_tokenizer(spark, docs, tmp_path, change):
     assert Counter((r.doc_id, r.ids_crc32) for r in packing.tokenized(rows, path, 10**6).collect()) == want
 
 
+def test_packing_small_latin_runs_need_the_merges_alone():
+    """Runs of small Latin letters skip the steps before the merges, punctuation is encoded once, and ids stay those of whole texts."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    rng = random.Random(8)
+    tok = Tokenizer.from_file(queries.tokenizer_path())
+
+    class Seen:
+        model, get_vocab, texts = tok.model, tok.get_vocab, []
+
+        def encode_batch_fast(self, texts, add_special_tokens):
+            self.texts += texts
+            return tok.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    ids = packing._Ids(Seen(), bound=500)
+    run = lambda: "".join(rng.choices("abcdefghijklmnoprstuvwyzßéèñ", k=rng.randint(1, 9))) + rng.choice(["", "", ".", "###"])
+    often = [run() for _ in range(50)]
+    odd = ["", " ", "Élan vital.", "e\u0301te\u0301. o\u0338=", "<|endoftext|>. A.b <|x", "it's 4²", "Привет, мир", "\u00a0x\u0085"]
+    for _ in range(4):
+        texts = [" ".join([run() for _ in range(40)] + rng.choices(often, k=20)) for _ in range(50)] + odd
+        want = [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert ids.of(pa.array(["not seen", *texts]).slice(1)) == want
+    assert len(ids.known) and not any(t.isascii() and t.islower() and t.isalpha() for s in ids.tokenizer.texts for t in s.split(" "))
+    assert len(ids.tokenizer.texts) < 60
+
+
 def test_packing_search():
     rng = random.Random(5)
     for sizes in ([60, 60, 60, 40, 40, 40], [70] * 5 + [30] * 5, [rng.randint(1, 100) for _ in range(2000)], [51] * 40, [], [100, 100], [1] * 250):
